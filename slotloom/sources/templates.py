@@ -226,12 +226,17 @@ def write_templates(lines: DataFrame, path: str, mode: str = "errorifexists", fi
     (ordered.coalesce(files) if files else ordered).write.mode(mode).text(path)
 
 
-def write_keys_by_document(templates: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """One folder of key lines per document, cut at records."""
+def keys_by_document(templates: DataFrame) -> DataFrame:
+    """The key lines of each document, cut at records: ``(doc_id, ord, line_no, val_ord, line)``."""
     docs = records(templates).select(F.col("tmpl_ord").alias("ord"), "doc_id")
     lines = concat_templates(templates).filter(F.col("line_no") <= len(SLOTS))
+    return lines.join(docs, "ord").select("doc_id", "ord", "line_no", "val_ord", "line")
+
+
+def write_keys_by_document(templates: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """One folder of key lines per document."""
     (
-        lines.join(docs, "ord")
+        keys_by_document(templates)
         .repartition("doc_id")
         .sortWithinPartitions("doc_id", "ord", "line_no", "val_ord")
         .select("doc_id", "line")
@@ -243,6 +248,6 @@ def write_keys_by_document(templates: DataFrame, path: str, mode: str = "errorif
 
 __all__ = [
     "answer_keys", "blank_template_lines", "concat_templates", "gold_texts", "pair_docs_with_keys",
-    "parse_templates", "read_lines", "read_templates", "records", "template_lines", "values",
+    "keys_by_document", "parse_templates", "read_lines", "read_templates", "records", "template_lines", "values",
     "write_keys_by_document", "write_templates",
 ]
