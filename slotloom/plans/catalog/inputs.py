@@ -5,10 +5,15 @@
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from slotloom.functions.text import SPACE, SPACE_CHARS, ws_tokens
+from slotloom.operators.annotate import ABBREVIATED, INNER_STOP, MASK, PIECE, SENTENCE, sentences
 from slotloom.slots import SLOTS
+from slotloom.sources.documents import normalise_documents
 
 SLOT_LIST = "[" + ", ".join(f"'{s}'" for s in SLOTS) + "]"
 
@@ -138,3 +143,124 @@ def templates(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     gold = rows.select(*keys, F.col("gold_value").alias("value"))
     resp = rows.filter("answered").select(*keys, F.col("resp_value").alias("value"))
     return _with_records(resp, rows), _with_records(gold, rows)
+
+
+# --- documents: text, sentences, tokens, words, lexicons --------------------------------------------
+
+def quote(text: str) -> str:
+    """A SQL string literal."""
+    return "'" + text.replace("'", "''") + "'"
+
+
+SPACES = quote(SPACE_CHARS)
+VIEWS["doc_text"] = ((), f"SELECT doc_id, text AS raw, trim(replace(text, chr(10), ' '), {SPACES}) AS text FROM documents")
+VIEWS["doc_sent"] = (("doc_text",), f"""
+    SELECT doc_id, CAST(unnest(range(len(kept))) AS INT) AS sent_idx, unnest(kept) AS sent
+    FROM (SELECT doc_id, list_filter(list_transform(regexp_extract_all(regexp_replace(regexp_replace(text,
+                   {quote(INNER_STOP)}, {quote(MASK)} || '\\1', 'g'), {quote(ABBREVIATED)}, '\\1\\2' || {quote(MASK)}, 'g'),
+                   {quote(SENTENCE)}), lambda s: trim(replace(s, {quote(MASK)}, '.'), {SPACES})), lambda s: s <> '')[1:3] AS kept
+          FROM doc_text)""")
+VIEWS["word"] = (("doc_sent",), f"""
+    SELECT doc_id, sent_idx, CAST(unnest(range(len(w))) AS INT) AS tok_idx, unnest(w) AS tok, unnest(p) AS piece
+    FROM (SELECT doc_id, sent_idx, regexp_extract_all(sent, {quote(PIECE)}, 2) AS w,
+                 regexp_extract_all(sent, {quote(PIECE)}, 0) AS p FROM doc_sent)""")
+VIEWS["placed"] = (("word",), """
+    SELECT doc_id, sent_idx, tok_idx, tok, CAST(e - length(tok) AS INT) AS start, CAST(e AS INT) AS "end"
+    FROM (SELECT *, sum(length(piece)) OVER (PARTITION BY doc_id, sent_idx ORDER BY tok_idx
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS e FROM word)""")
+PUNCTUATION = quote(string.punctuation)
+
+
+def ws_words(text: str) -> str:
+    """SQL for T2."""
+    return f"list_filter(regexp_split_to_array({text}, {quote(SPACE + '+')}), lambda t: t <> '')"
+
+
+def no_punct(token: str) -> str:
+    """SQL for T9."""
+    return f"translate({token}, {PUNCTUATION}, '')"
+
+
+def number(token: str) -> str:
+    """SQL for T10."""
+    return f"regexp_matches({no_punct(token)}, '^\\p{{Nd}}+$')"
+
+
+def location(text: str, sent: str) -> str:
+    """SQL for F2 as a struct."""
+    before = f"len({ws_words(f'{sent}[1:strpos({sent}, {text}) - 1]')})"
+    return (
+        f"CASE WHEN strpos({sent}, {text}) > 0 THEN {{'a': CAST({before} AS INT), "
+        f"'b': CAST({before} + len({ws_words(text)}) AS INT)}} ELSE {{'a': -1, 'b': -1}} END"
+    )
+
+
+# Word counts over whole documents; single marks and numbers are no words.
+VIEWS["word_count"] = (("doc_text",), f"""
+    SELECT w AS word, count(*) AS n FROM (SELECT unnest({ws_words('text')}) AS w FROM doc_text)
+    WHERE regexp_matches(w, '^\\p{{L}}+$') GROUP BY w""")
+VIEWS["gaz"] = (("word_count",), """
+    SELECT word AS text, ['ORG', 'GPE', 'MONEY', 'PERSON', 'FAC'][rank % 5 + 1] AS label
+    FROM (SELECT word, row_number() OVER (ORDER BY n DESC, word) - 1 AS rank FROM word_count) WHERE rank < 200""")
+VIEWS["pairs"] = (("doc_sent",), f"""
+    SELECT w[i] || ' ' || w[i + 1] AS pair
+    FROM (SELECT w, unnest(range(1, len(w))) AS i FROM (SELECT {ws_words('sent')} AS w FROM doc_sent))""")
+VIEWS["lex"] = (("pairs",), """
+    SELECT row_number() OVER (ORDER BY n DESC, pair) - 1 AS lex_ord, pair AS status, n
+    FROM (SELECT pair, count(*) AS n FROM pairs GROUP BY pair) QUALIFY lex_ord < 150""")
+VIEWS["opening"] = ((), """
+    SELECT row_number() OVER (ORDER BY status) - 1 AS lex_ord, status, 1 AS n
+    FROM (SELECT DISTINCT regexp_extract(text, '^\\S+\\s+\\S+', 0) AS status FROM benchmark) WHERE status <> ''""")
+
+
+def doc_text(spark: SparkSession, folder: str) -> DataFrame:
+    """S1 over the documents table."""
+    return normalise_documents(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+def doc_sent(spark: SparkSession, folder: str) -> DataFrame:
+    """T1 over the documents table."""
+    return sentences(doc_text(spark, folder))
+
+
+def word_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts of alphabetic words over whole documents."""
+    words = doc_text(spark, folder).select(F.explode(ws_tokens(F.col("text"))).alias("word"))
+    return words.filter(F.rlike("word", F.lit(r"^\p{L}+$"))).groupBy("word").agg(F.count("*").alias("n"))
+
+
+def top(counts: DataFrame, column: str, n: int) -> DataFrame:
+    """The ``n`` most frequent entries with their rank; a top-k, so only ``n`` rows meet in one task."""
+    best = counts.orderBy(F.col("n").desc(), column).limit(n)
+    return best.withColumn("rank", F.row_number().over(Window.orderBy(F.col("n").desc(), column)) - 1)
+
+
+def gazetteer(spark: SparkSession, folder: str) -> DataFrame:
+    """The 200 most frequent words with entity labels by rank."""
+    labels = F.array(*[F.lit(x) for x in ("ORG", "GPE", "MONEY", "PERSON", "FAC")])
+    return top(word_counts(spark, folder), "word", 200).select(
+        F.col("word").alias("text"), F.get(labels, F.col("rank") % 5).alias("label")
+    )
+
+
+def lexicon(spark: SparkSession, folder: str) -> DataFrame:
+    """The 150 most frequent word pairs of the kept sentences."""
+    words = ws_tokens(F.col("sent"))
+    pairs = F.zip_with(words, F.slice(words, F.lit(2), F.size(words)), lambda a, b: F.concat(a, F.lit(" "), b))
+    counts = (
+        doc_sent(spark, folder).select(F.explode(pairs).alias("pair")).filter("pair IS NOT NULL")
+        .groupBy("pair").agg(F.count("*").alias("n"))
+    )
+    return top(counts, "pair", 150).select(F.col("rank").cast("long").alias("lex_ord"), F.col("pair").alias("status"), "n")
+
+
+def openings(spark: SparkSession, folder: str) -> DataFrame:
+    """The first two words of every benchmark item, as a lexicon over whole documents."""
+    found = (
+        table(spark, folder, "benchmark")
+        .select(F.regexp_extract("text", r"^\S+\s+\S+", 0).alias("status"))
+        .filter("status <> ''").distinct()
+    )
+    return found.select(
+        (F.row_number().over(Window.orderBy("status")) - 1).cast("long").alias("lex_ord"), "status", F.lit(1).alias("n")
+    )
