@@ -111,7 +111,7 @@ def running_total(sizes: Column, block: int = 256) -> Column:
         return F.aggregate(
             values,
             F.array().cast("array<int>"),
-            lambda acc, v: F.array_append(acc, F.coalesce(F.element_at(acc, -1), F.lit(0)) + v),
+            lambda acc, v: F.array_append(acc, F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0)) + v),
         )
 
     n_blocks = F.floor((F.size(sizes) + (block - 1)) / block).cast("int")
@@ -124,7 +124,7 @@ def running_total(sizes: Column, block: int = 256) -> Column:
     ).otherwise(F.array().cast("array<array<int>>"))
 
     def shifted(blocks: Column) -> Column:
-        ends = fold(F.transform(blocks, lambda b: F.element_at(b, -1)))
+        ends = fold(F.transform(blocks, lambda b: F.try_element_at(b, F.lit(-1))))
         return F.flatten(
             F.transform(
                 blocks,

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slotloom.functions.text import BOILERPLATE, PRONOUNS, SPACE, running_total, strip
+from slotloom.slots import NO_ENTITY
 
 TOKEN_SCHEMA = (
     "doc_id string, sent_idx int, tok_idx int, tok string, pos string, dep string, head_idx int, "
@@ -158,29 +159,31 @@ def _runs(flags: Column) -> Column:
     return F.zip_with(places(before), places(after), lambda a, b: F.struct(a.alias("first"), b.alias("last")))
 
 
-def _span_text(run: Column) -> Column:
-    return F.ltrim(
-        F.array_join(F.slice(F.col("pieces"), run["first"] + 1, run["last"] - run["first"] + 1), ""),
-    )
+def _spans(
+    annotated: DataFrame, flag: Callable[[Column], Column], keep: Callable[[Column], Column], label: str
+) -> DataFrame:
+    """Runs of flagged tokens that hold a kept one, as span rows.
 
+    Spans are finished inside the row, so exploding them copies no token array.
+    """
 
-def _spans(annotated: DataFrame, flag: Callable[[Column], Column], keep: Callable[[Column], Column], label: Column) -> DataFrame:
-    flagged = annotated.withColumn("runs", _runs(F.transform("toks", flag)))
-    run_tokens = F.slice(F.col("toks"), F.col("run.first") + 1, F.col("run.last") - F.col("run.first") + 1)
-    return (
-        flagged.select("doc_id", "sent_idx", "pieces", "toks", F.explode("runs").alias("run"))
-        .filter(F.exists(run_tokens, keep))
-        .select(
-            "doc_id",
-            "sent_idx",
-            F.col("run.first").alias("ord"),
-            strip(_span_text(F.col("run"))).alias("text"),
-            label.alias("label"),
-            F.get("toks", F.col("run.first"))["start"].alias("start"),
-            F.get("toks", F.col("run.last"))["end"].alias("end"),
-            F.col("run.last").alias("root_idx"),
+    def part(values: str, run: Column) -> Column:
+        return F.slice(F.col(values), run["first"] + 1, run["last"] - run["first"] + 1)
+
+    def span(run: Column) -> Column:
+        return F.struct(
+            run["first"].alias("ord"),
+            strip(F.array_join(part("pieces", run), "")).alias("text"),
+            F.lit(label).alias("label"),
+            F.get(F.col("toks"), run["first"])["start"].alias("start"),
+            F.get(F.col("toks"), run["last"])["end"].alias("end"),
+            run["last"].alias("root_idx"),
         )
+
+    runs = F.filter(
+        _runs(F.transform("toks", flag)), lambda run: F.exists(part("toks", run), keep)
     )
+    return annotated.select("doc_id", "sent_idx", F.inline(F.transform(runs, span)))
 
 
 def entities(annotated: DataFrame, gazetteer: DataFrame | None = None) -> DataFrame:
@@ -189,14 +192,13 @@ def entities(annotated: DataFrame, gazetteer: DataFrame | None = None) -> DataFr
     ``gazetteer`` is ``(text, label)`` with distinct texts; it overrides the label of equal texts.
     """
     names = _spans(
-        annotated, lambda t: t["pos"] == "PROPN", lambda t: F.lit(True), F.lit("ORG")
+        annotated, lambda t: t["pos"] == "PROPN", lambda t: F.lit(True), "ORG"
     )
-    low = lambda t: F.lower(t["tok"])
     sums = _spans(
         annotated,
-        lambda t: (t["pos"] == "NUM") | low(t).isin(*MONEY_UNITS),
+        lambda t: (t["pos"] == "NUM") | F.lower(t["tok"]).isin(*MONEY_UNITS),
         lambda t: t["pos"] == "NUM",
-        F.lit("MONEY"),
+        "MONEY",
     ).filter(F.rlike(F.lower("text"), F.lit(r"[^0-9.\s]")))
     found = names.unionByName(sums)
     if gazetteer is None:
@@ -213,7 +215,7 @@ def noun_chunks(annotated: DataFrame) -> DataFrame:
         annotated,
         lambda t: t["pos"].isin(*NOMINAL),
         lambda t: t["pos"].isin(*CHUNK_CORE),
-        F.lit("nonent"),
+        NO_ENTITY,
     )
 
 

@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from slotloom.functions.text import SPACE, SPACE_CHARS, ws_tokens
-from slotloom.operators.annotate import ABBREVIATED, INNER_STOP, MASK, PIECE, SENTENCE, sentences
+from slotloom.operators.annotate import ABBREVIATED, INNER_STOP, MASK, PIECE, SENTENCE, annotate, sentences
+from slotloom.operators.entities import dedup_entities
 from slotloom.slots import SLOTS
 from slotloom.sources.documents import normalise_documents
 
@@ -264,3 +265,46 @@ def openings(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         (F.row_number().over(Window.orderBy("status")) - 1).cast("long").alias("lex_ord"), "status", F.lit(1).alias("n")
     )
+
+
+# --- spans: tokens that are in the gazetteer, every third one stretched over its neighbour --------------
+
+VIEWS["span"] = (("placed", "doc_sent", "gaz"), """
+    SELECT p.doc_id, p.sent_idx, p.tok_idx AS ord, s.sent[p.start + 1:p.stop] AS text, g.label, p.start, p.stop AS "end"
+    FROM (SELECT doc_id, sent_idx, tok_idx, tok, start,
+                 CASE WHEN tok_idx % 3 = 0 THEN coalesce(lead("end") OVER w, "end") ELSE "end" END AS stop
+          FROM placed WINDOW w AS (PARTITION BY doc_id, sent_idx ORDER BY tok_idx)) p
+    JOIN gaz g ON g.text = p.tok JOIN doc_sent s ON s.doc_id = p.doc_id AND s.sent_idx = p.sent_idx""")
+VIEWS["ent"] = (("span",), """
+    SELECT doc_id, sent_idx, text, min(ord) AS ord, max_by(label, ord) AS label, max_by(start, ord) AS start, max_by("end", ord) AS "end"
+    FROM span GROUP BY doc_id, sent_idx, text""")
+VIEWS["doc_ent"] = (("span",), """
+    SELECT doc_id, text, min(o) AS ord, max_by(label, o) AS label, max_by(start, o) AS start, max_by("end", o) AS "end"
+    FROM (SELECT *, sent_idx * 1000000 + ord AS o FROM span) GROUP BY doc_id, text""")
+
+
+def spans(spark: SparkSession, folder: str) -> DataFrame:
+    """Entity spans whose first token is in the gazetteer."""
+
+    def span(t, i):
+        following = F.get(F.col("toks"), i + 1)["end"]
+        stop = F.when(i % 3 == 0, F.coalesce(following, t["end"])).otherwise(t["end"])
+        return F.struct(
+            i.alias("ord"), t["tok"].alias("tok"), t["start"].alias("start"), stop.alias("end"),
+            F.substr(F.col("sent"), t["start"] + 1, stop - t["start"]).alias("text"),
+        )
+
+    found = annotate(doc_sent(spark, folder)).select("doc_id", "sent_idx", F.inline(F.transform("toks", span)))
+    gaz = gazetteer(spark, folder).withColumnRenamed("text", "tok")
+    return found.join(gaz, "tok").select("doc_id", "sent_idx", "ord", "text", "label", "start", "end")
+
+
+def sentence_entities(spark: SparkSession, folder: str) -> DataFrame:
+    """E1 of the spans, per sentence."""
+    return dedup_entities(spans(spark, folder))
+
+
+def document_entities(spark: SparkSession, folder: str) -> DataFrame:
+    """E1 of the spans, per document."""
+    placed = spans(spark, folder).withColumn("ord", F.col("sent_idx") * 1000000 + F.col("ord"))
+    return dedup_entities(placed, ("doc_id",))

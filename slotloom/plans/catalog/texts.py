@@ -135,11 +135,16 @@ def _piece_words(text):
     return f"regexp_extract_all({text}, {quote(PIECE)}, 2)"
 
 
-VIEWS["phrase_span"] = (("doc_text", "phrase"), f"""
-    SELECT doc_id, CAST(i - 1 AS INT) AS tok_idx, n AS n_tok, array_to_string(w[i:i + n - 1], ' ') AS text
-    FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
-          FROM (SELECT doc_id, {_piece_words('text')} AS w FROM doc_text), (SELECT unnest([1, 2, 3, 4, 5, 6]) AS n))
-    WHERE array_to_string(w[i:i + n - 1], ' ') IN (SELECT array_to_string({_piece_words('phrase')}, ' ') FROM phrase)""")
+VIEWS["doc_word"] = (("doc_text",), f"""
+    SELECT doc_id, CAST(unnest(range(len(w))) AS INT) AS tok_idx, unnest(w) AS tok
+    FROM (SELECT doc_id, {_piece_words('text')} AS w FROM doc_text)""")
+VIEWS["phrase_span"] = (("doc_word", "phrase"), f"""
+    SELECT doc_id, tok_idx, n_tok, text
+    FROM (SELECT doc_id, tok_idx, unnest([1, 2, 3, 4]) AS n_tok,
+                 unnest([tok, tok || ' ' || t2, tok || ' ' || t2 || ' ' || t3, tok || ' ' || t2 || ' ' || t3 || ' ' || t4]) AS text
+          FROM (SELECT *, lead(tok) OVER w AS t2, lead(tok, 2) OVER w AS t3, lead(tok, 3) OVER w AS t4
+                FROM doc_word WINDOW w AS (PARTITION BY doc_id ORDER BY tok_idx)))
+    WHERE text IN (SELECT array_to_string({_piece_words('phrase')}, ' ') FROM phrase)""")
 E5 = ctes("""SELECT s.doc_id, s.sent_idx, l.lex_ord, l.status FROM doc_sent s JOIN lex l ON contains(s.sent, l.status)""",
           "doc_sent", "lex")
 E6 = ctes("""SELECT d.doc_id, coalesce('"' || min_by(o.status, o.lex_ord) || '"', '---') AS status

@@ -48,7 +48,9 @@ def connect(folder):
 def compare(spark, con, folder, run, sql):
     """(problem or None, row count)."""
     df = run(spark, folder)
+    begun = time.time()
     got = rows_of(df.columns, df.collect())
+    compare.seconds = time.time() - begun
     if not sql:
         return None, len(got)
     answer = con.execute(sql)
@@ -63,6 +65,9 @@ def compare(spark, con, folder, run, sql):
     return None, len(got)
 
 
+compare.seconds = 0.0
+
+
 def main():
     from __spark_entry__ import oracle_sql, queries
     from slotloom.session import local_session
@@ -85,7 +90,7 @@ def main():
             problem, n = f"{type(error).__name__}: {str(error)[:1500]}", -1
         bad += problem is not None
         kind = "sql " if name in sqls else "rows"
-        print(f"{'FAIL' if problem else 'ok  '} {kind} {name:28s} {n:8d} rows {time.time() - begun:6.1f}s {problem or ''}"[:2500], flush=True)
+        print(f"{'FAIL' if problem else 'ok  '} {kind} {name:28s} {n:8d} rows {compare.seconds:6.1f}s of {time.time() - begun:6.1f}s {problem or ''}"[:2500], flush=True)
     spark.stop()
     print("failures:", bad)
     return bad
