@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import string
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -99,6 +100,11 @@ def context_window(loc: Column, tokens: Column) -> Column:
     return F.concat(before, after)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value computed once: inside a lambda, a plain expression is computed per element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def running_total(sizes: Column, block: int = 256) -> Column:
     """Inclusive running sums of an int array.
 
@@ -106,33 +112,27 @@ def running_total(sizes: Column, block: int = 256) -> Column:
     the length. Folding blocks and then shifting them by the block totals keeps
     a sentence of a million tokens affordable.
     """
+    ints = "array<int>"
 
     def fold(values: Column) -> Column:
         return F.aggregate(
             values,
-            F.array().cast("array<int>"),
-            lambda acc, v: F.array_append(acc, F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0)) + v),
+            F.array().cast(ints),
+            lambda acc, v: F.array_append(acc, F.coalesce(F.get(acc, F.size(acc) - 1), F.lit(0)) + v),
         )
 
-    n_blocks = F.floor((F.size(sizes) + (block - 1)) / block).cast("int")
-    blocks = F.when(
-        n_blocks > 0,
-        F.transform(
-            F.sequence(F.lit(0), n_blocks - 1),
-            lambda k: fold(F.slice(sizes, k * block + 1, F.lit(block))),
-        ),
-    ).otherwise(F.array().cast("array<array<int>>"))
-
-    def shifted(blocks: Column) -> Column:
-        ends = fold(F.transform(blocks, lambda b: F.try_element_at(b, F.lit(-1))))
-        return F.flatten(
-            F.transform(
-                blocks,
-                lambda b, k: F.transform(
-                    b, lambda v: v + F.when(k > 0, F.get(ends, k - 1)).otherwise(F.lit(0))
-                ),
+    def shifted(blocks: Column, ends: Column) -> Column:
+        def shift(sums: Column, k: Column) -> Column:
+            return let(
+                F.coalesce(F.get(ends, k - 1), F.lit(0)), lambda base: F.transform(sums, lambda v: v + base)
             )
-        )
 
-    short = F.size(sizes) <= block
-    return F.when(short, fold(sizes)).otherwise(shifted(blocks))
+        return F.flatten(F.transform(blocks, shift))
+
+    def in_blocks(sizes: Column) -> Column:
+        places = F.sequence(F.lit(0), ((F.size(sizes) - 1) / block).cast("int"))
+        cut = F.transform(places, lambda k: fold(F.slice(sizes, k * block + 1, F.lit(block))))
+        last = lambda b: F.get(b, F.size(b) - 1)
+        return let(cut, lambda blocks: let(fold(F.transform(blocks, last)), lambda ends: shifted(blocks, ends)))
+
+    return let(sizes, lambda s: F.when(F.size(s) <= block, fold(s)).otherwise(in_blocks(s)))

@@ -131,10 +131,14 @@ def annotate(sents: DataFrame) -> DataFrame:
 
 
 def token_rows(annotated: DataFrame) -> DataFrame:
-    """The token table of annotated sentences."""
-    return annotated.select("doc_id", "sent_idx", F.posexplode("toks").alias("tok_idx", "t")).select(
-        "doc_id", "sent_idx", "tok_idx", "t.*"
-    )
+    """The token table of annotated sentences.
+
+    An outer explode, then a filter on its output: for a plain explode of a
+    column the optimizer infers a filter on the array and pushes it, with the
+    whole annotation inlined, below the projections that compute it once.
+    """
+    rows = annotated.select("doc_id", "sent_idx", F.posexplode_outer("toks").alias("tok_idx", "t"))
+    return rows.filter("tok_idx IS NOT NULL").select("doc_id", "sent_idx", "tok_idx", "t.*")
 
 
 def annotate_with(
