@@ -136,3 +136,31 @@ def running_total(sizes: Column, block: int = 256) -> Column:
         return let(cut, lambda blocks: let(fold(F.transform(blocks, last)), lambda ends: shifted(blocks, ends)))
 
     return let(sizes, lambda s: F.when(F.size(s) <= block, fold(s)).otherwise(in_blocks(s)))
+
+
+def word_ranks(text: Column) -> Column:
+    """For each character the number of white-space tokens that start before it."""
+    spaces = F.lit(SPACE_CHARS)
+    is_word = F.transform(F.split(text, ""), lambda c: ~F.contains(spaces, c))
+    after_space = lambda flags: F.concat(F.array(F.lit(False)), flags)
+
+    def ranks(flags: Column) -> Column:
+        starts = F.zip_with(
+            flags, after_space(flags), lambda here, before: F.when(here & ~before, 1).otherwise(0)
+        )
+        totals = running_total(F.slice(starts, F.lit(1), F.size(flags)))
+        return F.concat(F.array(F.lit(0)), totals)
+
+    return let(is_word, ranks)
+
+
+def ranked_loc(text: Column, sentence: Column, ranks: Column) -> Column:
+    """F2 by one look into :func:`word_ranks`, for sentences with many phrases.
+
+    Splitting the sentence once per phrase would cost the square of its length.
+    """
+    at = F.position(text, sentence)
+    a = F.get(ranks, at - 1)
+    found = F.struct(a.alias("a"), (a + F.size(ws_tokens(text))).alias("b"))
+    absent = F.struct(F.lit(-1).alias("a"), F.lit(-1).alias("b"))
+    return F.when(at > 0, found).otherwise(absent)

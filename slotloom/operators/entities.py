@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from slotloom.functions.text import sentence_loc, strip
+from slotloom.functions.text import ranked_loc, strip, word_ranks
 
 SENTENCE = ("doc_id", "sent_idx")
 
@@ -152,10 +152,10 @@ def match_to_chunk(
     )
     located = (
         by_chunk.filter("chunk_root IS NULL")
-        .join(sents.select(*SENTENCE, "sent"), list(SENTENCE))
+        .join(sents.select(*SENTENCE, "sent", word_ranks(F.col("sent")).alias("ranks")), list(SENTENCE))
         .select(
             *key,
-            sentence_loc(F.col("text"), F.col("sent"))["b"].alias("b"),
+            ranked_loc(F.col("text"), F.col("sent"), F.col("ranks"))["b"].alias("b"),
             (F.position("text", "sent") + F.length("text") - 2).alias("last_char"),
         )
     )

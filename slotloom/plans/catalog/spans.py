@@ -8,7 +8,7 @@ from slotloom.functions.text import BOILERPLATE, PRONOUNS
 from slotloom.operators import annotate as ann
 from slotloom.operators import entities as ents
 from slotloom.plans.catalog.inputs import (
-    SPACES, VIEWS, ctes, doc_sent, document_entities, gazetteer, location, quote, sentence_entities, spans,
+    SPACES, VIEWS, annotated, ctes, doc_sent, document_entities, gazetteer, location, quote, sentence_entities, spans,
 )
 
 
@@ -51,10 +51,6 @@ VIEWS["rule_ent"] = (("token", "doc_sent"), runs_sql("pos = 'PROPN'", "true", "'
 VIEWS["chunk"] = (("token", "doc_sent"), runs_sql(f"pos IN {_in(ann.NOMINAL)}", f"pos IN {_in(ann.CHUNK_CORE)}", "'nonent'"))
 
 
-def annotated(spark, folder):
-    return ann.annotate(doc_sent(spark, folder))
-
-
 def chunks(spark, folder):
     return ann.noun_chunks(annotated(spark, folder))
 
@@ -64,7 +60,7 @@ def tokens(spark, folder):
 
 
 def t3_annotate(spark, folder):
-    return tokens(spark, folder)
+    return ann.token_rows(ann.annotate(doc_sent(spark, folder)))
 
 
 def t4_entities(spark, folder):

@@ -81,6 +81,12 @@ def f2_sentence_loc(spark, folder):
     ).select("doc_id", "sent_idx", "k", "loc.a", "loc.b")
 
 
+def f2_ranked_loc(spark, folder):
+    ranked = sent_phrase(spark, folder).withColumn("ranks", fx.word_ranks(F.col("sent")))
+    loc = fx.ranked_loc(F.col("text"), F.col("sent"), F.col("ranks"))
+    return ranked.select("doc_id", "sent_idx", "k", loc.alias("loc")).select("doc_id", "sent_idx", "k", "loc.a", "loc.b")
+
+
 def f3_sentence_num(spark, folder):
     return doc_sent(spark, folder).select("doc_id", "sent_idx")
 
@@ -170,6 +176,9 @@ QUERIES = {
     "f2_sentence_loc": (f2_sentence_loc, ctes(f"""
         SELECT doc_id, sent_idx, k, loc.a AS a, loc.b AS b
         FROM (SELECT *, {location('text', 'sent')} AS loc FROM sent_phrase)""", "sent_phrase")),
+    "f2_ranked_loc": (f2_ranked_loc, ctes(f"""
+        SELECT doc_id, sent_idx, k, loc.a AS a, loc.b AS b
+        FROM (SELECT *, {location('text', 'sent')} AS loc FROM sent_phrase)""", "sent_phrase")),
     "f3_sentence_num": (f3_sentence_num, ctes("SELECT doc_id, sent_idx FROM doc_sent", "doc_sent")),
     "f9_context_window": (f9_context_window, ctes(f"""
         SELECT doc_id, sent_idx, k,

@@ -54,3 +54,15 @@ def broadcast_if_small(df: DataFrame, column: str, limit: int = BROADCAST_LIMIT)
     width = F.size(column) * F.lit(8) if is_array else F.octet_length(F.col(column))
     measured = df.agg(F.sum(width.cast("long") + F.lit(64)).alias("n")).first()["n"] or 0
     return F.broadcast(df) if measured <= limit else df
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write a table once into the shared scratch folder and read it back.
+
+    Several consumers then share one computation, later plans stay short, and a
+    lost executor costs no recomputation from the source.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
