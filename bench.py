@@ -14,9 +14,8 @@ from slotloom.plans.catalog import load
 from slotloom.session import local_session
 
 HEADLINES = (
-    "r9_corpus_scores", "r8_document_scores", "s3_read_templates", "s4_gold_texts", "t1_sentences", "t3_annotate",
-    "e5_lexicon_hits", "e2_mark_references", "c7_all_candidates", "f8_embed", "f10_nearest_verb_rules", "f12_assemble",
-    "l_training_rows", "l7_balance_negatives", "m3_pick_slot",
+    "r9_corpus_scores", "s3_read_templates", "t1_sentences", "t3_annotate", "e5_lexicon_hits", "e2_mark_references",
+    "f10_nearest_verb_rules", "l2_overlap_label", "c7_all_candidates",
 )
 
 

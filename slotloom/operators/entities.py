@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from slotloom.functions.text import ranked_loc, strip, word_ranks
+from slotloom.functions.text import let, ranked_loc, strip, word_ranks
 
 SENTENCE = ("doc_id", "sent_idx")
 
+# Texts above this many characters are cut through an array of their characters.
+LONG_TEXT = 256
+
 # Fixed value: two place names up to this many characters apart are one place.
 PLACE_GAP = 7
 
@@ -33,14 +38,18 @@ def containments(outer: DataFrame, inner: DataFrame, keys: list[str]) -> DataFra
     lengths = inner.groupBy(*keys).agg(F.collect_set(F.length("needle")).alias("lengths"))
     text = F.col("o_text")
 
-    def cut(n: Column) -> Column:
+    def cut(n: Column, piece: Callable[[Column], Column]) -> Column:
         places = F.sequence(F.lit(1), F.length(text) - n + 1)
-        return F.when(n == 0, F.array(F.lit(""))).otherwise(
-            F.transform(places, lambda i: F.substr(text, i, n))
-        )
+        return F.when(n == 0, F.array(F.lit(""))).otherwise(F.transform(places, piece))
 
     fitting = F.filter("lengths", lambda n: n <= F.length(text))
-    offered = F.array_distinct(F.flatten(F.transform(fitting, cut)))
+    short = F.transform(fitting, lambda n: cut(n, lambda i: F.substr(text, i, n)))
+    # Reaching a place in a string walks over all before it; in a long one an array of characters is used.
+    long = let(
+        F.split(text, ""),
+        lambda chars: F.transform(fitting, lambda n: cut(n, lambda i: F.array_join(F.slice(chars, i, n), ""))),
+    )
+    offered = F.array_distinct(F.flatten(F.when(F.length(text) <= LONG_TEXT, short).otherwise(long)))
     return outer.join(lengths, keys).withColumn("needle", F.explode(offered)).drop("lengths").join(
         inner, [*keys, "needle"]
     )

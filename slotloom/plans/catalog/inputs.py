@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from slotloom.functions.text import SPACE, SPACE_CHARS, ws_tokens
 from slotloom.operators.annotate import ABBREVIATED, INNER_STOP, MASK, PIECE, SENTENCE, annotate, sentences
 from slotloom.operators.entities import dedup_entities
-from slotloom.session import stage
+from slotloom.session import spread, stage
 from slotloom.slots import SLOTS
 from slotloom.sources.documents import normalise_documents
 
@@ -229,7 +229,8 @@ VIEWS["opening"] = ((), """
 
 def doc_text(spark: SparkSession, folder: str) -> DataFrame:
     """S1 over the documents table."""
-    return normalise_documents(table(spark, folder, "documents").select("doc_id", "text"))
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return normalise_documents(spread(docs, "doc_id"))
 
 
 def doc_sent(spark: SparkSession, folder: str) -> DataFrame:

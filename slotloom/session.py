@@ -33,6 +33,15 @@ def local_session(cores: int | str = 8, app: str = "slotloom", **conf: str) -> S
     return spark
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """A table of few splits over all cores; one that has a split per core stays as it is.
+
+    A small Parquet file is often a single row group, which one task reads.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path for a written table, below the shared folder named in spark.checkpoint.dir."""
     root = spark.conf.get("spark.checkpoint.dir", None)
