@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from slotloom.llm import repeats
+from slotloom.llm import matrices, packing, repeats, rules
 
 
 def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -24,4 +24,27 @@ n AS (SELECT r, count(*) AS n FROM gone GROUP BY r)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n.n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
 FROM d LEFT JOIN kept ON kept.r = d.r LEFT JOIN n ON n.r = d.r"""
 
-QUERIES = {"op1_substring_dedup": (op1_substring_dedup, OP1_SQL)}
+
+def op2_packed_matrices(spark: SparkSession, folder: str) -> DataFrame:
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    written = matrices.write_matrices(docs, matrices.matrices_folder(spark))
+    return matrices.segments(written).withColumnRenamed("doc", "doc_id")
+
+
+def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    found = rules.fit(docs, spark.read.parquet(f"{folder}/labels.parquet"))
+    return rules.judge(docs, found).select("row.doc_id", *rules.COUNTS, "base_failed", "kept")
+
+
+def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    return packing.pack(docs).select("row.doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+QUERIES = {
+    "op1_substring_dedup": (op1_substring_dedup, OP1_SQL),
+    "op2_packed_matrices": (op2_packed_matrices, None),
+    "op4_quality_rules": (op4_quality_rules, None),
+    "op9_best_fit_packing": (op9_best_fit_packing, None),
+}
