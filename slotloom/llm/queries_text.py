@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from slotloom.llm import matrices, packing, repeats, rules
+from slotloom.llm import matrices, near, packing, repeats, rules
 
 
 def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -37,6 +37,11 @@ def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rules.judge(docs, found).select("row.doc_id", *rules.COUNTS, "base_failed", "kept")
 
 
+def op5_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    return near.near_duplicates(docs, carry=["doc_id"]).select("row.doc_id", "class_id")
+
+
 def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
     return packing.pack(docs).select("row.doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
@@ -46,5 +51,6 @@ QUERIES = {
     "op1_substring_dedup": (op1_substring_dedup, OP1_SQL),
     "op2_packed_matrices": (op2_packed_matrices, None),
     "op4_quality_rules": (op4_quality_rules, None),
+    "op5_minhash_near_dedup": (op5_minhash_near_dedup, None),
     "op9_best_fit_packing": (op9_best_fit_packing, None),
 }
