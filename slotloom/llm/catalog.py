@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from slotloom.llm import queries_text
+from slotloom.llm import queries_pages, queries_text
 
 
 def load() -> dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]:
-    return dict(queries_text.QUERIES)
+    return {**queries_text.QUERIES, **queries_pages.QUERIES}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from slotloom.llm import matrices, near, packing, repeats, rules
+from slotloom.llm import matrices, near, packing, pieces, repeats, rules
 
 
 def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -42,6 +42,11 @@ def op5_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near.near_duplicates(docs, carry=["doc_id"]).select("row.doc_id", "class_id")
 
 
+def op8_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    return pieces.encode(docs, with_ids=False).select("row.doc_id", "n_tokens", "ids_crc32", "parity", "round_trip")
+
+
 def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
     return packing.pack(docs).select("row.doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
@@ -52,5 +57,6 @@ QUERIES = {
     "op2_packed_matrices": (op2_packed_matrices, None),
     "op4_quality_rules": (op4_quality_rules, None),
     "op5_minhash_near_dedup": (op5_minhash_near_dedup, None),
+    "op8_sentencepiece": (op8_sentencepiece, None),
     "op9_best_fit_packing": (op9_best_fit_packing, None),
 }
