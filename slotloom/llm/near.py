@@ -8,11 +8,11 @@ shingle that occurs c times weighs ``1 + ln c``.
 so two texts agree on a register with the probability Jaccard similarity of their weights. A process ends as soon
 as its next arrival is later than the latest register of its text.
 
-*Banding.* A band's registers are one key. Texts that share a key are candidates. Equal texts are one node
-from the start. No bucket is gathered and its pairs are not listed: in each round a bucket has a few
-pivots, which are compared with the members of other classes in the bucket and then leave it; classes grow
-by the verified links, and a bucket is done when all its members are in one class. Pivots double from round to round, so
-every bucket ends, and every candidate pair is either compared or already within one class.
+*Banding.* A band's registers are one key. Texts that share a key are candidates. Equal texts are one node from the
+start. No bucket is gathered and its pairs are not listed. First come rounds with one pivot a bucket, the text that shares
+the most buckets with others, which is compared with the members of other classes and then leaves; classes grow by the
+verified links, and a bucket is done when all its members are in one class. What is left in open buckets (texts close to
+a group but not close enough) goes through an exact similarity join by prefixes of rare shingles, which finds every link among it.
 
 *Verification.* A link needs Jaccard similarity of the shingle sets of at least ``similarity``, counted exactly.
 Classes are the connected components of the links, found by contraction in Spark.
@@ -34,6 +34,7 @@ from slotloom.session import stage
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 24, 5
+PIVOT_ROUNDS = 3
 
 _STEP = 0x9E3779B97F4A7C15
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -173,27 +174,86 @@ def classes_of(keyed: DataFrame, similarity: float = SIMILARITY, bands: int = BA
     nodes = stage(members.select("key").distinct(), "nodes")
     texts = keyed.select("key", "text").mapInArrow(_packed, "key binary, packed binary").groupBy("key").agg(F.first("packed").alias("packed"))
     sets = stage(texts.join(nodes, "key").mapInArrow(_sets, "key binary, held binary"), "sets")
-    classes, turn = nodes.select("key", F.col("key").alias("class")), 0
-    while True:
+    # how much of the collection a text is close to: the middle of a group of near copies ranks above its copies
+    weights = stage(
+        members.join(members.groupBy("bucket").agg(F.count("*").alias("n")), "bucket").groupBy("key").agg(F.sum("n").alias("weight")), "weights")
+    members = stage(members.join(weights, "key"), "weighted")
+    classes = nodes.select("key", F.col("key").alias("class"))
+    for turn in range(PIVOT_ROUNDS + 1):
         named = members.join(classes, "key")
         # a bucket whose members are in one class is done
-        left = named.groupBy("bucket").agg(
-            F.min("class").alias("low"), F.max("class").alias("high"), F.count("*").alias("n"),
-            F.min_by("key", F.xxhash64("key", F.lit(turn))).alias("one")).where("low <> high").select("bucket", "n", "one")
-        left = stage(left, "open_buckets")
+        left = stage(named.groupBy("bucket").agg(
+            F.min("class").alias("low"), F.max("class").alias("high"),
+            F.max_by("key", F.struct("weight", "key")).alias("one")).where("low <> high").select("bucket", "one"), "open_buckets")
         if left.isEmpty():
-            return classes
-        # one pivot a bucket at first; then twice as many by chance in each round
-        chance = F.pmod(F.xxhash64("key", "bucket", F.lit(turn)), F.lit(1 << 40)) / float(1 << 40) < F.lit(float((1 << turn) - 1)) / F.col("n")
+            break
         members = stage(named.join(left, "bucket").select(
-            "bucket", "key", "class", ((F.col("key") == F.col("one")) | chance).alias("pivot")), "open_members")
-        pivots = members.where("pivot").select("bucket", F.col("key").alias("other"), F.col("class").alias("other_class"))
-        pairs = members.join(pivots, "bucket").where("class <> other_class").select(
-            F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b")).distinct()
-        links = _verified(pairs, sets, similarity)
-        members = members.where("not pivot").select("bucket", "key")
-        classes = _contract(classes, links)
-        turn += 1
+            "bucket", "key", "weight", "class", (F.col("key") == F.col("one")).alias("pivot")), "open_members")
+        if turn == PIVOT_ROUNDS:
+            pairs = _close_pairs(members.select("key", "class").distinct(), sets, similarity)
+        else:
+            pivots = members.where("pivot").select("bucket", F.col("key").alias("other"), F.col("class").alias("other_class"))
+            pairs = members.join(pivots, "bucket").where("class <> other_class").select(
+                F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b")).distinct()
+        classes = _contract(classes, _verified(stage(pairs, "pairs"), sets, similarity))
+        members = members.where("not pivot").select("bucket", "key", "weight")
+    return classes
+
+
+def _size_class(size: np.ndarray) -> np.ndarray:
+    return np.floor(np.log(size) / np.log(1.02) + 1e-9).astype(np.int64)
+
+
+def _tokens(batches):
+    for batch in batches:
+        held = [np.frombuffer(x, np.int64) for x in batch.column("held").to_pylist()]
+        sizes = np.array([len(x) for x in held], np.int64)
+        at = pa.array(np.repeat(np.arange(len(held)), sizes))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("key").take(at), batch.column("class").take(at), pa.array(np.concatenate([*held, np.zeros(0, np.int64)]))], ["key", "class", "token"])
+
+
+def _prefixes(similarity: float):
+    share = similarity / (1 + similarity)
+    need = lambda both: np.ceil(share * both - 1e-9).astype(np.int64)
+
+    def prefixes(batches):
+        for batch in batches:
+            out: list[tuple[np.ndarray, ...]] = []
+            for i, tokens in enumerate(batch.column("tokens").to_pylist()):
+                n, token = (np.array([t[f] for t in tokens], np.int64) for f in ("n", "token"))
+                size, at = len(token), np.arange(len(token))
+                shared = n > 1
+                own = token[shared & (at <= size - need(2 * size))]
+                out.append((np.full(len(own), i), own, np.full(len(own), _size_class(np.array(size))), np.zeros(len(own), bool)))
+                least = int(np.ceil(similarity * size - 1e-9))
+                for c in range(int(_size_class(np.array(max(1, least)))), int(_size_class(np.array(size))) + 1):
+                    smallest = max(least, int(np.ceil(1.02 ** c - 1e-6)))
+                    found = token[shared & (at <= size - need(size + smallest))]
+                    out.append((np.full(len(found), i), found, np.full(len(found), c), np.ones(len(found), bool)))
+            if out:
+                i, token, c, longer = (np.concatenate(x) for x in zip(*out))
+                at = pa.array(i)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("key").take(at), batch.column("class").take(at), pa.array(token), pa.array(c), pa.array(longer)],
+                    ["key", "class", "token", "sizes", "longer"])
+    return prefixes
+
+
+def _close_pairs(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Pairs of members of different classes that may reach the similarity, by prefix filtering.
+
+    Two sets that are so similar share a shingle among the first few of each, in any order that is the same for
+    all; rare shingles come first. How many are looked at follows from both sizes, so the longer set offers them by size class.
+    """
+    tokens = stage(members.join(sets, "key").mapInArrow(_tokens, "key binary, class binary, token long"), "tokens")
+    often = stage(tokens.groupBy("token").agg(F.count("*").alias("n")).where("n > 1"), "often")
+    ordered = tokens.join(often, "token", "left").groupBy("key", "class").agg(
+        F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(1)).alias("n"), "token"))).alias("tokens"))
+    found = stage(ordered.mapInArrow(_prefixes(similarity), "key binary, class binary, token long, sizes long, longer boolean"), "prefixes")
+    other = found.where("not longer").select(F.col("key").alias("other"), F.col("class").alias("other_class"), "token", "sizes")
+    return found.where("longer").join(other, ["token", "sizes"]).where("class <> other_class").select(
+        F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b")).distinct()
 
 
 def digest_of(text):
