@@ -86,7 +86,7 @@ def _kind(width: int) -> str:
 
 def _cut(path: str, end: int, length: int, width: int):
     def cut(batches):
-        encoder = tokens.Encoder(path)
+        encoder = tokens.encoder(path)
         for batch in batches:
             group, doc = batch.column("group"), batch.column("doc")
             for low, high, ids, offsets in tokens.encode_texts(encoder, batch.column("text")):

@@ -203,7 +203,7 @@ def places(patterns: list[Pattern]) -> pd.DataFrame:
 def pieces(docs: DataFrame, text: str, path: str, end: int, capacity: int) -> DataFrame:
     """row, piece, start, length, ids_crc32: every document's ids and ``end``, cut where they exceed the capacity."""
     def cut(batches):
-        encoder = tokens.Encoder(path)
+        encoder = tokens.encoder(path)
         for batch in batches:
             rows = batch.column("row")
             for low, high, ids, offsets in tokens.encode_texts(encoder, pc.struct_field(rows, text)):

@@ -23,11 +23,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slotloom.llm.tokens import default_path
+from slotloom.llm.tokens import Memory, default_path
 from slotloom.llm.words import Slice, slices
 
 MARK = "▁"
-REMEMBERED = 200_000
+REMEMBERED = 1_000_000
 SLICE_BYTES = 2 << 20
 # Kinds of pieces and models in the protobuf.
 NORMAL, USER_DEFINED, BYTE = 1, 4, 6
@@ -109,8 +109,7 @@ class Codec:
         self.tokenizer = rebuild(proto, prefix=not self.by_chunk)
         self.other = sentencepiece.SentencePieceProcessor(model_file=path)
         self.mark = {p.piece: i for i, p in enumerate(proto.pieces)}.get(MARK, proto.trainer_spec.unk_id)
-        self.known: dict[int, int] = {}
-        self.sizes, self.begins, self.flat, self.same, self.faithful = (np.zeros(0, t) for t in (np.int64, np.int64, np.uint32, bool, bool))
+        self.memory = Memory(REMEMBERED)
 
     def _both(self, texts: list[str]):
         mine = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -123,15 +122,9 @@ class Codec:
         decoded = self.tokenizer.decode_batch(theirs, skip_special_tokens=False)
         return theirs, same, [a == b for a, b in zip(decoded, texts)]
 
-    def _learn(self, keys: list[int], texts: list[str]) -> None:
-        ids, same, faithful = self._both(texts)
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        n, used = len(self.sizes), len(self.flat)
-        self.known.update(zip(keys, range(n, n + len(keys))))
-        self.begins = np.concatenate([self.begins, used + np.cumsum(sizes) - sizes])
-        self.sizes = np.concatenate([self.sizes, sizes])
-        self.flat = np.concatenate([self.flat, np.fromiter((i for x in ids for i in x), np.uint32, int(sizes.sum()))])
-        self.same, self.faithful = np.concatenate([self.same, same]).astype(bool), np.concatenate([self.faithful, faithful]).astype(bool)
+    def _learn(self, chunks: list[str]):
+        ids, same, faithful = self._both(chunks)
+        return ids, np.array(same, np.uint8) + 2 * np.array(faithful, np.uint8)
 
     def encode(self, texts: pa.Array):
         """(ids, offsets, parity, round trip) of every slice of a column of texts."""
@@ -144,22 +137,19 @@ class Codec:
         spaced = pc.if_else(pc.equal(pc.binary_length(texts), 0), texts, pc.binary_join_element_wise(pa.scalar(b" ", pa.large_binary()), texts, pa.scalar(b"", pa.large_binary())))
         for part in slices(spaced, SLICE_BYTES):
             cut = _chunks(part)
-            keys, first, which = np.unique(cut.hashes(), return_index=True, return_inverse=True)
-            keys = keys.tolist()
-            new = [i for i, k in enumerate(keys) if k not in self.known]
-            if len(self.known) + len(new) > REMEMBERED:
-                self.known, new = {}, list(range(len(keys)))
-                self.sizes, self.begins, self.flat, self.same, self.faithful = (x[:0] for x in (self.sizes, self.begins, self.flat, self.same, self.faithful))
-            for low in range(0, len(new), 50_000):
-                some = new[low:low + 50_000]
-                self._learn([keys[i] for i in some], [cut.word(first[i]).decode("utf-8", "replace") for i in some])
-            at = np.fromiter((self.known[k] for k in keys), np.int64, len(keys))[which]
-            sizes = self.sizes[at]
-            ends = np.cumsum(sizes)
-            total = int(ends[-1]) if len(ends) else 0
-            ids = self.flat[np.arange(total) + np.repeat(self.begins[at] - (ends - sizes), sizes)]
-            wrong = [np.concatenate([[0], np.cumsum(~flags[at])])[cut.first] for flags in (self.same, self.faithful)]
-            yield ids, np.concatenate([[0], ends])[cut.first], *(np.diff(w) == 0 for w in wrong)
+            ids, offsets, flags = self.memory.gather(cut, self._learn)
+            wrong = [np.concatenate([[0], np.cumsum(flags & bit == 0)])[cut.first] for bit in (1, 2)]
+            yield ids, offsets, *(np.diff(w) == 0 for w in wrong)
+
+
+_CODECS: dict[str, Codec] = {}
+
+
+def codec(path: str) -> Codec:
+    """The worker's codec for a model file."""
+    if path not in _CODECS:
+        _CODECS[path] = Codec(path)
+    return _CODECS[path]
 
 
 def encode(docs: DataFrame, text: str = "text", path: str = "piece_bpe_32k.model", with_ids: bool = True) -> DataFrame:
@@ -170,10 +160,10 @@ def encode(docs: DataFrame, text: str = "text", path: str = "piece_bpe_32k.model
     names = ["row", "n_tokens", "ids_crc32", "parity", "round_trip", *["ids"] * with_ids]
 
     def run(batches):
-        codec = Codec(path)
+        own = codec(path)
         for batch in batches:
             out: list[list] = [[] for _ in names[1:]]
-            for ids, offsets, parity, faithful in codec.encode(batch.column("text")):
+            for ids, offsets, parity, faithful in own.encode(batch.column("text")):
                 raw = memoryview(ids.astype("<u4").tobytes())
                 spans = list(zip(offsets[:-1].tolist(), offsets[1:].tolist()))
                 for into, values in zip(out, (np.diff(offsets), [zlib.crc32(raw[4 * a:4 * b]) for a, b in spans], parity, faithful,
