@@ -46,7 +46,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path for a written table, below the shared folder named in spark.checkpoint.dir."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        # No shared folder is named: a single-machine run, so a local one does.
+        if not (spark.conf.get("spark.master", None) or "").startswith("local["):
+            raise ValueError("name a folder that the driver and all executors share in spark.checkpoint.dir")
+        # One process on one machine, where a local folder does.
         root = tempfile.mkdtemp(prefix="slotloom-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

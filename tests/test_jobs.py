@@ -74,3 +74,18 @@ def test_against_sql(spark, name):
 def test_no_pairwise_joins(spark, name):
     plan = load()[name][0](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from slotloom.session import scratch_path
+
+    def session(**conf):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: conf.get(key, default), set=conf.__setitem__))
+
+    with pytest.raises(ValueError):
+        scratch_path(session(**{"spark.master": "spark://host:7077"}), "x")
+    assert scratch_path(session(**{"spark.master": "yarn", "spark.checkpoint.dir": "hdfs:///shared/"}), "x").startswith("hdfs:///shared/x-")

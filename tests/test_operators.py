@@ -92,10 +92,11 @@ def test_lexicon_paths_agree(spark):
     sents = [(i, 0, "".join(rng.choice("abé ") for _ in range(rng.randint(0, 30)))) for i in range(80)]
     words = sorted({"".join(rng.choice("abé ") for _ in range(rng.randint(1, 6))) for _ in range(60)})
     df = spark.createDataFrame(sents, "doc_id int, sent_idx int, sent string")
+    words += ["", words[0], words[-1]]  # an empty phrase is in every text; repeated phrases hit each
     lex = spark.createDataFrame(list(enumerate(words)), "lex_ord long, status string")
-    want = {(d, w) for d, _, s in sents for w in words if w in s}
+    want = sorted((d, i, w) for d, _, s in sents for i, w in enumerate(words) if w in s)
     for limit in (1000, 0):
-        assert {(r.doc_id, r.status) for r in lexicons.lexicon_hits(df, lex, limit).collect()} == want
+        assert sorted((r.doc_id, r.lex_ord, r.status) for r in lexicons.lexicon_hits(df, lex, limit).collect()) == want
 
 
 def test_undisclosed_phrases(spark):

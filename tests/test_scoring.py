@@ -142,3 +142,21 @@ def test_two_decimals_like_c(spark):
     pairs = [(c, t) for t in range(1, 161) for c in range(t + 1)]
     df = spark.createDataFrame(pairs, "c int, t int").select("c", "t", two_decimals(F.col("c") / F.col("t")).alias("s"))
     assert [(r.c, r.t, r.s) for r in df.collect() if r.s != "%.2f" % (r.c / r.t)] == []
+
+
+def test_repeated_ids_pair_by_occurrence(spark):
+    """One gold record, the same document twice in the output: the first of the two is scored."""
+    schema = "tmpl_ord long, doc_id string, slot string, val_ord long, value string"
+    record = lambda n, i: [(n, i, None, None, None), (n, i, "status", 1, '"x"')]
+    gold = spark.createDataFrame(record(0, "a"), schema)
+    resp = spark.createDataFrame(record(0, "A") + record(1, "a"), schema)
+    assert [tuple(r) for r in scoring.align(resp, gold).collect()] == [(0, "a", 0)]
+    row = scoring.tally(resp, gold).filter("slot = 'status'").first()
+    assert (row.correct, row.generated, row.gold) == (1, 1, 1)
+
+
+def test_unequal_sets_are_not_scored(spark, tmp_path):
+    slots = "".join(f"{s.upper()}: ---\n" for s in ("acquired", "acqbus", "acqloc", "dlramt", "purchaser", "seller", "status"))
+    (tmp_path / "out").write_text("".join(f"TEXT: {i}\n{slots}\n" for i in "ab"))
+    (tmp_path / "gold").write_text(f"TEXT: a\n{slots}\n")
+    assert set(score_files(spark, str(tmp_path / "out"), str(tmp_path / "gold"))) == {"size_errors", "mismatched"}
