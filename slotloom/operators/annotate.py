@@ -51,7 +51,6 @@ SENTENCE = r"[^.!?]+[.!?]*"
 WORD = r"[\p{L}\p{N}](?:[\p{L}\p{N}.'&-]*[\p{L}\p{N}])?"
 OTHER = "[^" + SPACE[1:-1] + r"\p{L}\p{N}]"
 PIECE = f"({SPACE}*)({WORD}|{OTHER})"
-VERB_REACH = 8
 
 
 def sentences(docs: DataFrame, n: int = 3) -> DataFrame:
@@ -94,8 +93,8 @@ def _pos(tok: Column) -> Column:
 def annotate(sents: DataFrame) -> DataFrame:
     """Each sentence with arrays ``pieces`` and ``toks`` (tok, pos, dep, head_idx, start, end).
 
-    The first verb is the root. Other tokens hang on the nearest verb among the
-    eight tokens before them, else on the root; verbs hang on the root.
+    The first verb is the root. Other tokens hang on the last verb before them,
+    else on the root; verbs hang on the root.
     """
     cut = sents.select(
         "*",
@@ -106,12 +105,18 @@ def annotate(sents: DataFrame) -> DataFrame:
         "*",
         F.transform("words", _pos).alias("tags"),
         running_total(F.transform("pieces", lambda p: F.length(p))).alias("ends"),
-    ).withColumn("root", F.greatest(F.array_position("tags", "VERB").cast("int") - 1, F.lit(0)))
+    ).select(
+        "*",
+        F.greatest(F.array_position("tags", "VERB").cast("int") - 1, F.lit(0)).alias("root"),
+        F.filter(
+            F.transform("tags", lambda t, i: F.when(t == "VERB", i)), lambda i: i.isNotNull()
+        ).alias("verbs"),
+        running_total(F.transform("tags", lambda t: F.when(t == "VERB", 1).otherwise(0))).alias("verbs_seen"),
+    )
 
     def head(tag: Column, i: Column) -> Column:
-        reach = F.least(i, F.lit(VERB_REACH))
-        near = F.array_position(F.reverse(F.slice(F.col("tags"), i - reach + 1, reach)), "VERB").cast("int")
-        return F.when((tag == "VERB") | (near == 0), F.col("root")).otherwise(i - near)
+        last = F.get(F.col("verbs"), F.get(F.col("verbs_seen"), i) - 1)
+        return F.when(tag == "VERB", F.col("root")).otherwise(F.coalesce(last, F.col("root")))
 
     def dependency(tag: Column, i: Column) -> Column:
         rule = F.when(i == F.col("root"), "ROOT")

@@ -147,8 +147,8 @@ def match_to_chunk(
 
     The first chunk of equal text; else the token where the text ends; else the
     first token. ``compat`` takes the white-space index of the text's end as a
-    token index, as trained models expect; otherwise the token is the one that
-    covers the text's last character.
+    token index, as trained models expect, and the last token for an empty
+    text; otherwise the token is the one that covers the text's last character.
     """
     key = [*SENTENCE, "text"]
     wanted = texts.select(*key).distinct()
@@ -168,24 +168,42 @@ def match_to_chunk(
             (F.position("text", "sent") + F.length("text") - 2).alias("last_char"),
         )
     )
-    if compat:
-        at = located.withColumn("tok_idx", F.greatest(F.col("b") - 1, F.lit(0)))
-        by_token = at.join(tokens.select(*SENTENCE, "tok_idx", "tok"), [*SENTENCE, "tok_idx"], "left")
-    else:
-        covers = tokens.select(*SENTENCE, "tok_idx", "tok", "start", "end")
-        hit = located.filter("b > 0").join(covers, list(SENTENCE)).filter(
-            (F.col("last_char") >= F.col("start")) & (F.col("last_char") < F.col("end"))
-        )
-        missed = located.filter("b <= 0").withColumn("tok_idx", F.lit(0)).join(
-            covers.select(*SENTENCE, "tok_idx", "tok"), [*SENTENCE, "tok_idx"], "left"
-        )
-        by_token = hit.select(*key, "tok_idx", "tok").unionByName(missed.select(*key, "tok_idx", "tok"))
+    place = end_place(F.col("b"), F.col("last_char"), compat)
+    first = tokens.filter("tok_idx = 0").select(*SENTENCE, F.col("tok").alias("first_tok"))
+    by_token = (
+        located.withColumn("place", place)
+        .join(token_places(tokens, compat), [*SENTENCE, "place"], "left")
+        .join(first, list(SENTENCE), "left")
+    )
+    missed = F.col("tok_idx").isNull()
     return found.unionByName(
-        by_token.select(*key, F.col("tok").alias("anchor"), F.col("tok_idx").alias("root_idx"))
+        by_token.select(
+            *key,
+            F.coalesce("tok", "first_tok").alias("anchor"),
+            F.when(missed & F.col("first_tok").isNotNull(), 0).otherwise(F.col("tok_idx")).alias("root_idx"),
+        )
+    )
+
+
+def end_place(b: Column, last_char: Column, compat: bool) -> Column:
+    """Where a located text ends, as :func:`token_places` counts; -1 is the last token."""
+    if compat:
+        return F.when(b == 0, -1).otherwise(F.greatest(b - 1, F.lit(0)))
+    return F.when(b > 0, last_char)
+
+
+def token_places(tokens: DataFrame, compat: bool) -> DataFrame:
+    """Tokens by place, ``(doc_id, sent_idx, place, tok_idx, tok)``: their index, or each character they cover."""
+    if not compat:
+        covered = F.when(F.col("end") > F.col("start"), F.sequence("start", F.col("end") - 1))
+        return tokens.select(*SENTENCE, F.explode(covered).alias("place"), "tok_idx", "tok")
+    last = tokens.groupBy(*SENTENCE).agg(F.max(F.struct("tok_idx", "tok")).alias("last"))
+    return tokens.select(*SENTENCE, F.col("tok_idx").alias("place"), "tok_idx", "tok").unionByName(
+        last.select(*SENTENCE, F.lit(-1).alias("place"), "last.tok_idx", "last.tok")
     )
 
 
 __all__ = [
-    "containments", "dedup_entities", "mark_references", "mark_references_in_order", "match_to_chunk",
-    "merge_locations", "possessive_core",
+    "containments", "dedup_entities", "end_place", "mark_references", "mark_references_in_order", "match_to_chunk",
+    "merge_locations", "possessive_core", "token_places",
 ]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from slotloom.functions.text import ranked_loc, strip_punct, word_ranks, ws_tokens
 from slotloom.operators.annotate import drop_boilerplate
-from slotloom.operators.entities import SENTENCE, containments
+from slotloom.operators.entities import SENTENCE, containments, end_place, token_places
 from slotloom.slots import NO_ENTITY, NO_SLOT
 
 CHUNK = [*SENTENCE, "ord"]
@@ -64,8 +64,9 @@ def exact_labels(chunks: DataFrame, pairs: DataFrame) -> DataFrame:
 def injected_gold(gold: DataFrame, exact: DataFrame, sents: DataFrame, tokens: DataFrame, compat: bool = True) -> DataFrame:
     """L4: a gold text found in a sentence without an equal chunk becomes a row at its last token.
 
-    ``compat`` takes the white-space index of its end as token index; otherwise
-    the token is the one that covers its last character.
+    ``compat`` takes the white-space index of its end as token index, and the
+    last token for an empty text; otherwise the token is the one that covers its
+    last character.
     """
     placed = sents.select(*SENTENCE, "sent", word_ranks(F.col("sent")).alias("ranks"))
     found = (
@@ -79,13 +80,8 @@ def injected_gold(gold: DataFrame, exact: DataFrame, sents: DataFrame, tokens: D
         )
         .join(exact.select(*SENTENCE, "text"), [*SENTENCE, "text"], "left_anti")
     )
-    if compat:
-        at = found.withColumn("tok_idx", F.greatest(F.col("b") - 1, F.lit(0)))
-        rows = at.join(tokens.select(*SENTENCE, "tok_idx"), [*SENTENCE, "tok_idx"])
-    else:
-        rows = found.join(tokens.select(*SENTENCE, "tok_idx", "start", "end"), list(SENTENCE)).filter(
-            (F.col("last_char") >= F.col("start")) & (F.col("last_char") < F.col("end"))
-        )
+    at = found.withColumn("place", end_place(F.col("b"), F.col("last_char"), compat))
+    rows = at.join(token_places(tokens, compat), [*SENTENCE, "place"])
     return rows.select(*SENTENCE, "text", F.col("tok_idx").alias("root_idx"), "label")
 
 

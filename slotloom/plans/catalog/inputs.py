@@ -300,9 +300,14 @@ VIEWS["span"] = (("placed", "doc_sent", "gaz"), """
 VIEWS["ent"] = (("span",), """
     SELECT doc_id, sent_idx, text, min(ord) AS ord, max_by(label, ord) AS label, max_by(start, ord) AS start, max_by("end", ord) AS "end"
     FROM span GROUP BY doc_id, sent_idx, text""")
-VIEWS["doc_ent"] = (("span",), """
+# the same over all sentences of a document
+VIEWS["whole_sent"] = (("doc_text",), VIEWS["doc_sent"][1].replace("[1:3]", ""))
+VIEWS["whole_word"] = (("whole_sent",), VIEWS["word"][1].replace("doc_sent", "whole_sent"))
+VIEWS["whole_placed"] = (("whole_word",), VIEWS["placed"][1].replace("FROM word", "FROM whole_word"))
+VIEWS["whole_span"] = (("whole_placed", "whole_sent", "gaz"), VIEWS["span"][1].replace("placed", "whole_placed").replace("doc_sent", "whole_sent"))
+VIEWS["doc_ent"] = (("whole_span",), """
     SELECT doc_id, text, min(o) AS ord, max_by(label, o) AS label, max_by(start, o) AS start, max_by("end", o) AS "end"
-    FROM (SELECT *, sent_idx * 1000000 + ord AS o FROM span) GROUP BY doc_id, text""")
+    FROM (SELECT *, CAST(sent_idx AS BIGINT) * 4294967296 + ord AS o FROM whole_span) GROUP BY doc_id, text""")
 
 
 def annotated(spark: SparkSession, folder: str) -> DataFrame:
@@ -310,8 +315,8 @@ def annotated(spark: SparkSession, folder: str) -> DataFrame:
     return staged(spark, folder, "annotated", lambda: annotate(doc_sent(spark, folder)))
 
 
-def spans(spark: SparkSession, folder: str) -> DataFrame:
-    """Entity spans whose first token is in the gazetteer."""
+def spans(spark: SparkSession, folder: str, sents: DataFrame | None = None) -> DataFrame:
+    """Entity spans whose first token is in the gazetteer, of annotated sentences (the kept ones by default)."""
 
     def span(t, i):
         following = F.get(F.col("toks"), i + 1)["end"]
@@ -321,7 +326,8 @@ def spans(spark: SparkSession, folder: str) -> DataFrame:
             F.substr(F.col("sent"), t["start"] + 1, stop - t["start"]).alias("text"),
         )
 
-    found = annotated(spark, folder).select("doc_id", "sent_idx", F.inline(F.transform("toks", span)))
+    sents = annotated(spark, folder) if sents is None else sents
+    found = sents.select("doc_id", "sent_idx", F.inline(F.transform("toks", span)))
     gaz = gazetteer(spark, folder).withColumnRenamed("text", "tok")
     return found.join(gaz, "tok").select("doc_id", "sent_idx", "ord", "text", "label", "start", "end")
 
@@ -332,6 +338,8 @@ def sentence_entities(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def document_entities(spark: SparkSession, folder: str) -> DataFrame:
-    """E1 of the spans, per document."""
-    placed = spans(spark, folder).withColumn("ord", F.col("sent_idx") * 1000000 + F.col("ord"))
+    """E1 of the spans of all sentences, per document."""
+    whole = staged(spark, folder, "whole", lambda: annotate(sentences(doc_text(spark, folder), 1 << 30)))
+    place = F.shiftleft(F.col("sent_idx").cast("long"), 32) + F.col("ord")
+    placed = spans(spark, folder, whole).withColumn("ord", place)
     return dedup_entities(placed, ("doc_id",))

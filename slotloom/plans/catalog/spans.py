@@ -32,7 +32,7 @@ VIEWS["token"] = (("tagged",), f"""
            CASE WHEN pos = 'VERB' THEN root ELSE coalesce(near, root) END AS head_idx, start, "end"
     FROM (SELECT *, coalesce(min(CASE WHEN pos = 'VERB' THEN tok_idx END) OVER (PARTITION BY doc_id, sent_idx), 0) AS root,
                  max(CASE WHEN pos = 'VERB' THEN tok_idx END) OVER (PARTITION BY doc_id, sent_idx ORDER BY tok_idx
-                     ROWS BETWEEN {ann.VERB_REACH} PRECEDING AND 1 PRECEDING) AS near FROM tagged)""")
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS near FROM tagged)""")
 
 
 def runs_sql(flag: str, keep: str, label: str) -> str:
@@ -156,20 +156,29 @@ VIEWS["wanted"] = (("span", "doc_sent", "chunk"), """
     UNION SELECT doc_id, sent_idx, text FROM chunk""")
 
 
-def match_sql(wanted: str, token_join: str) -> str:
+VIEWS["token_at"] = (("token",), """
+    SELECT doc_id, sent_idx, tok_idx, tok, tok_idx AS place FROM token
+    UNION ALL SELECT doc_id, sent_idx, max(tok_idx), max_by(tok, tok_idx), -1 FROM token GROUP BY doc_id, sent_idx""")
+VIEWS["token_over"] = (("token",), """
+    SELECT doc_id, sent_idx, tok_idx, tok, unnest(range(start, "end")) AS place FROM token""")
+
+
+def match_sql(wanted: str, places: str, place: str) -> str:
     """SQL for E7."""
     return f"""
-    SELECT w.doc_id, w.sent_idx, w.text, CASE WHEN w.root IS NOT NULL THEN w.text ELSE t.tok END AS anchor,
-           coalesce(w.root, t.tok_idx) AS root_idx
+    SELECT w.doc_id, w.sent_idx, w.text, CASE WHEN w.root IS NOT NULL THEN w.text ELSE coalesce(t.tok, f.tok) END AS anchor,
+           coalesce(w.root, t.tok_idx, f.tok_idx) AS root_idx
     FROM (SELECT x.*, c.root, loc.b AS b, strpos(sent, text) + length(text) - 2 AS last_char
           FROM (SELECT DISTINCT v.doc_id, v.sent_idx, v.text, s.sent, {location('v.text', 's.sent')} AS loc
                 FROM {wanted} v JOIN doc_sent s USING (doc_id, sent_idx)) x
           LEFT JOIN chunk_first c USING (doc_id, sent_idx, text)) w
-    LEFT JOIN token t ON t.doc_id = w.doc_id AND t.sent_idx = w.sent_idx AND {token_join}"""
+    LEFT JOIN {places} t ON t.doc_id = w.doc_id AND t.sent_idx = w.sent_idx AND t.place = {place}
+    LEFT JOIN token f ON f.doc_id = w.doc_id AND f.sent_idx = w.sent_idx AND f.tok_idx = 0"""
 
 
-BY_INDEX = "t.tok_idx = greatest(w.b - 1, 0)"
-BY_OFFSET = """CASE WHEN w.b > 0 THEN w.last_char >= t.start AND w.last_char < t."end" ELSE t.tok_idx = 0 END"""
+# the view of tokens by place, and the place where a text ends
+BY_INDEX = ("token_at", "CASE WHEN w.b = 0 THEN -1 ELSE greatest(w.b - 1, 0) END")
+BY_OFFSET = ("token_over", "CASE WHEN w.b > 0 THEN w.last_char END")
 E7_VIEWS = ("wanted", "chunk_first", "token", "doc_sent")
 
 
@@ -206,6 +215,6 @@ QUERIES = {
         "ent", "sent_pair")),
     "e3_merge_locations": (e3_merge_locations, ctes(
         merge_sql("(SELECT * FROM ent WHERE label IN ('GPE', 'FAC'))"), "ent", "doc_sent")),
-    "e7_match_to_chunk": (e7_match_to_chunk, ctes(match_sql("wanted", BY_INDEX), *E7_VIEWS)),
-    "e7_match_by_offset": (e7_match_by_offset, ctes(match_sql("wanted", BY_OFFSET), *E7_VIEWS)),
+    "e7_match_to_chunk": (e7_match_to_chunk, ctes(match_sql("wanted", *BY_INDEX), *E7_VIEWS, "token_at")),
+    "e7_match_by_offset": (e7_match_by_offset, ctes(match_sql("wanted", *BY_OFFSET), *E7_VIEWS, "token_over")),
 }

@@ -12,7 +12,7 @@ from slotloom.plans.catalog.features import vectors
 from slotloom.plans.catalog.inputs import (
     SLOT_LIST, VIEWS, annotated, ctes, doc_sent, document_entities, location, no_punct, staged, ws_words,
 )
-from slotloom.plans.catalog.spans import MAXIMAL, chunks, references_sql, tokens
+from slotloom.plans.catalog.spans import BY_INDEX, BY_OFFSET, MAXIMAL, chunks, references_sql, tokens
 from slotloom.plans.catalog.texts import sent_phrase
 from slotloom.slots import SLOTS
 from slotloom.sources.features import read_training_rows, write_training_rows
@@ -120,7 +120,7 @@ def l9_split(spark, folder):
 def training_features(spark, folder):
     """F12 of the training rows, shared by the model queries."""
     def build():
-        rows = labelled(spark, folder).distinct()
+        rows = labelled(spark, folder)
         from slotloom.plans.catalog.candidates import annotations
         from slotloom.plans.catalog.features import vectors
 
@@ -154,16 +154,16 @@ VIEWS["found"] = (("gold_doc", "doc_sent", "exact"), f"""
     WHERE NOT EXISTS (SELECT 1 FROM exact e WHERE e.doc_id = s.doc_id AND e.sent_idx = s.sent_idx AND e.text = g.text)""")
 
 
-def _inject_sql(cond: str) -> str:
-    return f"""SELECT f.doc_id, f.sent_idx, f.text, t.tok_idx AS root_idx, f.label FROM found f
-               JOIN token t ON t.doc_id = f.doc_id AND t.sent_idx = f.sent_idx AND {cond}"""
+def _inject_sql(places: str, place: str) -> str:
+    return f"""SELECT w.doc_id, w.sent_idx, w.text, t.tok_idx AS root_idx, w.label FROM (SELECT *, loc.b AS b FROM found) w
+               JOIN {places} t ON t.doc_id = w.doc_id AND t.sent_idx = w.sent_idx AND t.place = {place}"""
 
 
-INJECT = _inject_sql("t.tok_idx = greatest(f.loc.b - 1, 0)")
+INJECT = _inject_sql(*BY_INDEX)
 VIEWS["plain_ent"] = (("doc_ent", "doc_pair"), f"""
     SELECT doc_id, text, label AS ent_label FROM ({references_sql('doc_ent', 'doc_id', MAXIMAL, 'true')
     .replace('FROM pair_q', 'FROM doc_pair').replace('FROM pair', 'FROM doc_pair pair')}) WHERE NOT is_reference""")
-VIEWS["labelled"] = (("negative", "exact", "found", "token", "plain_ent"), f"""
+VIEWS["labelled"] = (("negative", "exact", "found", "token_at", "plain_ent"), f"""
     SELECT r.doc_id, r.sent_idx, r.text, r.root_idx, r.label, coalesce(p.ent_label, 'nonent') AS ent_label
     FROM (SELECT * FROM negative UNION ALL SELECT doc_id, sent_idx, text, root_idx, label FROM exact UNION ALL {INJECT}) r
     LEFT JOIN plain_ent p USING (doc_id, text)""")
@@ -184,9 +184,9 @@ QUERIES = {
         "SELECT doc_id, sent_idx, ord, chunk_text, gold_text, slot FROM pair2", "pair2")),
     "l2_negatives": (l2_negatives, ctes("SELECT * FROM negative", "negative")),
     "l3_exact_label": (l3_exact_label, ctes("SELECT * FROM exact", "exact")),
-    "l4_inject_gold": (l4_inject_gold, ctes(INJECT, "found", "token")),
+    "l4_inject_gold": (l4_inject_gold, ctes(INJECT, "found", "token_at")),
     "l4_inject_gold_by_offset": (l4_inject_gold_by_offset, ctes(
-        _inject_sql('f.last_char >= t.start AND f.last_char < t."end"'), "found", "token")),
+        _inject_sql(*BY_OFFSET), "found", "token_over")),
     "l5_substring_label": (l5_substring_label, ctes("""
         SELECT c.doc_id, c.sent_idx, c.ord, c.text, coalesce(min_by(g.slot, g.place), 'none') AS label
         FROM chunk c LEFT JOIN gold_doc g ON g.doc_id = c.doc_id AND (contains(g.text, c.text) OR contains(c.text, g.text))
@@ -203,5 +203,5 @@ QUERIES = {
         f"SELECT {KEYS}, CAST(dense_rank() OVER (ORDER BY label) - 1 AS INT) AS label_idx FROM labelled", "labelled")),
     "l9_split": (l9_split, ctes(f"SELECT {KEYS}, {_hash(0)}[1:1] < 'c' AS is_train FROM labelled", "labelled")),
     "s10_write_training_rows": (s10_write_training_rows, ctes(
-        f"SELECT DISTINCT {KEYS}, ent_label, CAST(98 + 7 * 64 AS INT) AS width FROM labelled", "labelled")),
+        f"SELECT {KEYS}, ent_label, CAST(98 + 7 * 64 AS INT) AS width FROM labelled", "labelled")),
 }

@@ -30,10 +30,16 @@ def annotations(
 
 def slot_values(
     docs: DataFrame, lexicon: DataFrame, vectors: DataFrame, classifier: PipelineModel,
-    gazetteer: DataFrame | None = None, compat: bool = True,
+    gazetteer: DataFrame | None = None, compat: bool = True, given: candidates.Annotations | None = None,
 ) -> DataFrame:
-    """S1 to M3 in one job: ``(doc_id, slot, text)`` for every document and slot."""
-    tables, arrays = annotations(docs, lexicon, gazetteer)
+    """S1 to M3 in one job: ``(doc_id, slot, text)`` for every document and slot.
+
+    ``given`` is an annotation of your own; ``lexicon`` and ``gazetteer`` are not looked at then.
+    """
+    if given is None:
+        tables, arrays = annotations(docs, lexicon, gazetteer)
+    else:
+        tables, arrays = given, features.sentence_arrays(given.tokens)
     found = stage(candidates.all_candidates(tables, compat), "candidates")
     rows = features.assemble(features.describe(found, docs, tables.sents, arrays), vectors)
     scored = model.slot_score(model.score(classifier, rows), model.labels_of(classifier))

@@ -6,7 +6,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slotloom.operators import annotate, entities, features, model, training
+from slotloom.operators import annotate, candidates, entities, features, model, training
 from slotloom.session import stage
 
 ROW_KEYS = ["doc_id", "sent_idx", "label", "text", "root_idx"]
@@ -21,12 +21,19 @@ def document_entities(annotated: DataFrame, gazetteer: DataFrame | None = None)
 
 
 def training_rows(
-    docs: DataFrame, gold: DataFrame, vectors: DataFrame, gazetteer: DataFrame | None = None, compat: bool = True
+    docs: DataFrame, gold: DataFrame, vectors: DataFrame, gazetteer: DataFrame | None = None, compat: bool = True,
+    given: candidates.Annotations | None = None,
 ) -> DataFrame:
     """Labelled feature rows from paired documents and their gold texts.
 
-    Sentences are the first three; entities come from the whole document.
+    Sentences are the first three; entities come from the whole document. ``given`` is an annotation of your own,
+    whose entities have distinct texts per document.
     """
+    if given is not None:
+        rows = training.training_candidates(
+            given.chunks, gold, given.sents, given.tokens, entities.mark_references(given.entities), compat)
+        return features.assemble(
+            features.describe(rows, docs, given.sents, features.sentence_arrays(given.tokens)), vectors)
     whole = stage(annotate.annotate(annotate.sentences(docs, 1 << 30)), "whole")
     annotated = stage(annotate.annotate(annotate.sentences(docs)), "annotated")
     sents = annotated.select("doc_id", "sent_idx", "sent")
