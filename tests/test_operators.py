@@ -139,3 +139,29 @@ def test_pick_slot_ties(spark):
     docs = spark.createDataFrame([("d",)], "doc_id string")
     got = {r.slot: r.text for r in model.pick_slot(scored, docs).collect()}
     assert got["seller"] == "y" and got["status"] is None and len(got) == 7
+
+
+def test_empty_and_uncovered_texts_find_a_token(spark):
+    from slotloom.operators import annotate, entities
+
+    sents = spark.createDataFrame([(1, 0, "Red Fox bought it today")], "doc_id long, sent_idx int, sent string")
+    arrays = annotate.annotate(sents)
+    tokens = annotate.token_rows(arrays)
+    texts = spark.createDataFrame([(1, 0, t) for t in ("", "bought", "Red ", "absent")], "doc_id long, sent_idx int, text string")
+    chunks = annotate.noun_chunks(arrays).limit(0)
+
+    def found(compat):
+        rows = entities.match_to_chunk(texts, chunks, tokens, sents, compat).collect()
+        return {r.text: (r.anchor, r.root_idx) for r in rows}
+
+    assert found(True) == {"": ("today", 4), "bought": ("bought", 2), "Red ": ("Red", 0), "absent": ("Red", 0)}
+    assert found(False) == {"": ("Red", 0), "bought": ("bought", 2), "Red ": ("Red", 0), "absent": ("Red", 0)}
+
+
+def test_heads_reach_over_long_sentences(spark):
+    from slotloom.operators import annotate
+
+    words = ["said", *["stone"] * 400, "bought", *["stone"] * 400]
+    sents = spark.createDataFrame([(1, 0, " ".join(words))], "doc_id long, sent_idx int, sent string")
+    heads = [t.head_idx for t in annotate.annotate(sents).first().toks]
+    assert heads == [0] * 402 + [401] * 400
