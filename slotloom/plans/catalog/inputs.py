@@ -209,19 +209,25 @@ def location(text: str, sent: str) -> str:
     )
 
 
+# The gazetteer holds every word that looks like a name, the lexicon every pair of words that occurs so often.
+NAME = r"^\p{Lu}\p{Ll}+$"
+LETTER_PAIR = r"^\p{L}+ \p{L}+$"
+OFTEN = 10
+
 # Word counts over whole documents; single marks and numbers are no words.
 VIEWS["word_count"] = (("doc_text",), f"""
     SELECT w AS word, count(*) AS n FROM (SELECT unnest({ws_words('text')}) AS w FROM doc_text)
     WHERE regexp_matches(w, '^\\p{{L}}+$') GROUP BY w""")
-VIEWS["gaz"] = (("word_count",), """
-    SELECT word AS text, ['ORG', 'GPE', 'MONEY', 'PERSON', 'FAC'][rank % 5 + 1] AS label
-    FROM (SELECT word, row_number() OVER (ORDER BY n DESC, word) - 1 AS rank FROM word_count) WHERE rank < 200""")
+VIEWS["gaz"] = (("word_count",), f"""
+    SELECT word AS text, ['ORG', 'GPE', 'MONEY', 'PERSON', 'FAC'][(strpos('0123456789abcdef', md5(word)[1:1]) - 1) % 5 + 1] AS label
+    FROM word_count WHERE regexp_matches(word, {quote(NAME)})""")
 VIEWS["pairs"] = (("doc_sent",), f"""
     SELECT w[i] || ' ' || w[i + 1] AS pair
     FROM (SELECT w, unnest(range(1, len(w))) AS i FROM (SELECT {ws_words('sent')} AS w FROM doc_sent))""")
 VIEWS["lex"] = (("pairs",), """
     SELECT row_number() OVER (ORDER BY n DESC, pair) - 1 AS lex_ord, pair AS status, n
-    FROM (SELECT pair, count(*) AS n FROM pairs GROUP BY pair) QUALIFY lex_ord < 150""")
+    FROM (SELECT pair, count(*) AS n FROM pairs GROUP BY pair)
+    WHERE n >= {often} AND regexp_matches(pair, {letters})""".replace("{often}", str(OFTEN)).replace("{letters}", quote(LETTER_PAIR)))
 VIEWS["opening"] = ((), """
     SELECT row_number() OVER (ORDER BY status) - 1 AS lex_ord, status, 1 AS n
     FROM (SELECT DISTINCT regexp_extract(text, '^\\S+\\s+\\S+', 0) AS status FROM benchmark) WHERE status <> ''""")
@@ -244,26 +250,35 @@ def word_counts(spark: SparkSession, folder: str) -> DataFrame:
     return words.filter(F.rlike("word", F.lit(r"^\p{L}+$"))).groupBy("word").agg(F.count("*").alias("n"))
 
 
-def top(counts: DataFrame, column: str, n: int) -> DataFrame:
-    """The ``n`` most frequent entries with their rank; a top-k, so only ``n`` rows meet in one task."""
-    best = counts.orderBy(F.col("n").desc(), column).limit(n)
-    return best.withColumn("rank", F.row_number().over(Window.orderBy(F.col("n").desc(), column)) - 1)
+def numbered(df: DataFrame, name: str, *order) -> DataFrame:
+    """``df`` with ``place``, each row's number from 0 in an order without ties.
+
+    Ranges of the order are counted and ranked one by one, so no task sees all rows; only the ranges' sizes meet in one.
+    """
+    ranges = stage(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), name)
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = ranges.groupBy("_range").agg(F.count("*").alias("_n")).select(
+        "_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    rank = F.row_number().over(Window.partitionBy("_range").orderBy(*order)) - 1
+    return ranges.withColumn("_rank", rank).join(before, "_range").withColumn(
+        "place", (F.col("_rank") + F.col("_before")).cast("long")).drop("_range", "_rank", "_before")
 
 
 def gazetteer(spark: SparkSession, folder: str) -> DataFrame:
-    """The 200 most frequent words with entity labels by rank."""
+    """Every word of the documents that looks like a name, with an entity label by its hash."""
     return staged(spark, folder, "gazetteer", lambda: _gazetteer(spark, folder))
 
 
 def _gazetteer(spark: SparkSession, folder: str) -> DataFrame:
     labels = F.array(*[F.lit(x) for x in ("ORG", "GPE", "MONEY", "PERSON", "FAC")])
-    return top(word_counts(spark, folder), "word", 200).select(
-        F.col("word").alias("text"), F.get(labels, F.col("rank") % 5).alias("label")
+    digit = F.position(F.substring(F.md5("word"), 1, 1), F.lit("0123456789abcdef")) - 1
+    return word_counts(spark, folder).filter(F.rlike("word", F.lit(NAME))).select(
+        F.col("word").alias("text"), F.get(labels, digit % 5).alias("label")
     )
 
 
 def lexicon(spark: SparkSession, folder: str) -> DataFrame:
-    """The 150 most frequent word pairs of the kept sentences."""
+    """Every pair of words that occurs at least ``OFTEN`` times in the kept sentences, frequent ones first."""
     return staged(spark, folder, "lexicon", lambda: _lexicon(spark, folder))
 
 
@@ -274,7 +289,9 @@ def _lexicon(spark: SparkSession, folder: str) -> DataFrame:
         doc_sent(spark, folder).select(F.explode(pairs).alias("pair")).filter("pair IS NOT NULL")
         .groupBy("pair").agg(F.count("*").alias("n"))
     )
-    return top(counts, "pair", 150).select(F.col("rank").cast("long").alias("lex_ord"), F.col("pair").alias("status"), "n")
+    often = counts.filter(F.rlike("pair", F.lit(LETTER_PAIR)) & (F.col("n") >= OFTEN))
+    return numbered(often, "pairs", F.col("n").desc(), F.col("pair")).select(
+        F.col("place").alias("lex_ord"), F.col("pair").alias("status"), "n")
 
 
 def openings(spark: SparkSession, folder: str) -> DataFrame:
@@ -284,9 +301,8 @@ def openings(spark: SparkSession, folder: str) -> DataFrame:
         .select(F.regexp_extract("text", r"^\S+\s+\S+", 0).alias("status"))
         .filter("status <> ''").distinct()
     )
-    return found.select(
-        (F.row_number().over(Window.orderBy("status")) - 1).cast("long").alias("lex_ord"), "status", F.lit(1).alias("n")
-    )
+    return staged(spark, folder, "openings", lambda: numbered(found, "openings_ranges", F.col("status")).select(
+        F.col("place").alias("lex_ord"), "status", F.lit(1).alias("n")))
 
 
 # --- spans: tokens that are in the gazetteer, every third one stretched over its neighbour --------------

@@ -18,7 +18,7 @@ def x1_status_counts(spark, folder):
 
 def x2_merge_counts(spark, folder):
     lex = lexicon(spark, folder)
-    return ops.merge_counts(lex.filter("lex_ord < 100"), lex.filter("lex_ord >= 50"))
+    return ops.merge_counts(lex.filter("n < 50"), lex.filter("n >= 20"))
 
 
 QUERIES = {
@@ -29,5 +29,5 @@ QUERIES = {
         WHERE slot = 'status' AND is_primary GROUP BY text""", "quoted")),
     "x2_merge_counts": (x2_merge_counts, ctes("""
         SELECT status, CAST(sum(n) AS BIGINT) AS n
-        FROM (SELECT * FROM lex WHERE lex_ord < 100 UNION ALL SELECT * FROM lex WHERE lex_ord >= 50) GROUP BY status""", "lex")),
+        FROM (SELECT * FROM lex WHERE n < 50 UNION ALL SELECT * FROM lex WHERE n >= 20) GROUP BY status""", "lex")),
 }

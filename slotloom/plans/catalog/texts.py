@@ -100,8 +100,9 @@ def f9_context_window(spark, folder):
 
 
 def _phrases(spark, folder):
-    lex = lexicon(spark, folder).filter("lex_ord < 3")
-    one_word = lex.select(F.substring_index("status", " ", 1).alias("phrase"))
+    """Every pair of the lexicon, and their first words of eight letters or more."""
+    lex = lexicon(spark, folder)
+    one_word = lex.select(F.substring_index("status", " ", 1).alias("phrase")).filter(F.char_length("phrase") >= 8)
     return lex.select(F.col("status").alias("phrase")).unionByName(one_word)
 
 
@@ -131,8 +132,8 @@ def e6_first_lexicon_hit_joined(spark, folder):
 
 VIEWS["tok"] = (("doc_sent",), f"SELECT DISTINCT unnest({ws_words('sent')}) AS tok FROM doc_sent")
 VIEWS["phrase"] = (("lex",), """
-    SELECT status AS phrase FROM lex WHERE lex_ord < 3
-    UNION SELECT split_part(status, ' ', 1) FROM lex WHERE lex_ord < 3""")
+    SELECT status AS phrase FROM lex
+    UNION SELECT split_part(status, ' ', 1) FROM lex WHERE length(split_part(status, ' ', 1)) >= 8""")
 
 
 def _piece_words(text):
