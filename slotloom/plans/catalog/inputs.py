@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from slotloom.functions.text import SPACE, SPACE_CHARS, ws_tokens
 from slotloom.operators.annotate import ABBREVIATED, INNER_STOP, MASK, PIECE, SENTENCE, annotate, sentences
 from slotloom.operators.entities import dedup_entities
-from slotloom.session import spread, stage
+from slotloom.session import ranged, spread, stage
 from slotloom.slots import SLOTS
 from slotloom.sources.documents import normalise_documents
 
@@ -255,7 +255,7 @@ def numbered(df: DataFrame, name: str, *order) -> DataFrame:
 
     Ranges of the order are counted and ranked one by one, so no task sees all rows; only the ranges' sizes meet in one.
     """
-    ranges = stage(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), name)
+    ranges = ranged(df, name, *order)
     earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     before = ranges.groupBy("_range").agg(F.count("*").alias("_n")).select(
         "_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))

@@ -22,18 +22,21 @@ def document_entities(annotated: DataFrame, gazetteer: DataFrame | None = None)
 
 def training_rows(
     docs: DataFrame, gold: DataFrame, vectors: DataFrame, gazetteer: DataFrame | None = None, compat: bool = True,
-    given: candidates.Annotations | None = None,
+    given: candidates.Annotations | None = None, balance: bool = False,
 ) -> DataFrame:
     """Labelled feature rows from paired documents and their gold texts.
 
     Sentences are the first three; entities come from the whole document. ``given`` is an annotation of your own,
-    whose entities have distinct texts per document.
+    whose entities have distinct texts per document. With ``balance``, L7 comes first and only the rows it keeps get features.
     """
+    def chosen(rows: DataFrame) -> DataFrame:
+        return stage(training.balance_negatives(stage(rows, "labelled"), ROW_KEYS), "balanced_rows") if balance else rows
+
     if given is not None:
         rows = training.training_candidates(
             given.chunks, gold, given.sents, given.tokens, entities.mark_references(given.entities), compat)
         return features.assemble(
-            features.describe(rows, docs, given.sents, features.sentence_arrays(given.tokens)), vectors)
+            features.describe(chosen(rows), docs, given.sents, features.sentence_arrays(given.tokens)), vectors)
     whole = stage(annotate.annotate(annotate.sentences(docs, 1 << 30)), "whole")
     annotated = stage(annotate.annotate(annotate.sentences(docs)), "annotated")
     sents = annotated.select("doc_id", "sent_idx", "sent")
@@ -41,12 +44,15 @@ def training_rows(
         annotate.noun_chunks(annotated), gold, sents, annotate.token_rows(annotated),
         document_entities(whole, gazetteer), compat,
     )
-    return features.assemble(features.describe(rows, docs, sents, annotated), vectors)
+    return features.assemble(features.describe(chosen(rows), docs, sents, annotated), vectors)
 
 
-def train(rows: DataFrame, trees: int = model.TREES, depth: int = model.DEPTH) -> tuple[PipelineModel, DataFrame, DataFrame]:
-    """The model, its hold-out accuracy and its class report."""
-    balanced = stage(training.split(training.balance_negatives(rows, ROW_KEYS), ROW_KEYS), "balanced")
+def train(
+    rows: DataFrame, trees: int = model.TREES, depth: int = model.DEPTH, balanced: bool = False,
+) -> tuple[PipelineModel, DataFrame, DataFrame]:
+    """The model, its hold-out accuracy and its class report; without L7 for ``balanced`` rows."""
+    even = rows if balanced else training.balance_negatives(stage(rows, "training_rows"), ROW_KEYS)
+    balanced = stage(training.split(even, ROW_KEYS), "balanced")
     classifier = model.fit(balanced.filter("is_train"), trees, depth)
     held_out = model.score(classifier, balanced.filter("NOT is_train"))
     return classifier, model.accuracy(held_out), model.classification_report(held_out)

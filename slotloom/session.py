@@ -77,3 +77,11 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def ranged(df: DataFrame, name: str, *order) -> DataFrame:
+    """``df``, written once, with ``_range``: the number of the range of ``order`` that a row lies in.
+
+    Sums and ranks over a whole table are taken range by range, on top of one total per range.
+    """
+    return stage(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), name)

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from slotloom.session import ranged, stage
 from slotloom.slots import NO_VALUE, SLOTS
 
 # Line formats of a template file, a continuation line, and a quoted string.
@@ -60,19 +61,27 @@ def parse_templates(lines: DataFrame, strict_compat: bool = False) -> DataFrame:
     is_head = F.col("key") == "text"
     head_pos = F.when(is_head, F.col("pos"))
     key_pos = F.when(F.col("key").isNotNull(), F.col("pos"))
-    splits = keyed.groupBy("file", "block").agg(
+    splits = stage(keyed.groupBy("file", "block").agg(
         F.count(head_pos).alias("heads"),
         F.count("*").alias("lines"),
         F.max_by("rest", head_pos).alias("last_id"),
         F.max_by("key", key_pos).alias("last_key"),
+    ), "splits")
+    # a row per split: ranges of splits are summed one by one, and only the ranges' totals meet in one task
+    splits = ranged(splits, "split_ranges", "file", "block")
+    earlier_ranges = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = splits.groupBy("_range").agg(F.sum("heads").alias("heads"), F.sum("lines").alias("lines")).select(
+        "_range",
+        F.coalesce(F.sum("heads").over(earlier_ranges), F.lit(0)).alias("heads_before"),
+        F.coalesce(F.sum("lines").over(earlier_ranges), F.lit(0)).alias("lines_before"),
     )
-    earlier = Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy("_range").orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
     above = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    carried = splits.select(
+    carried = splits.join(totals, "_range").select(
         "file",
         "block",
-        F.coalesce(F.sum("heads").over(earlier), F.lit(0)).alias("head_base"),
-        F.coalesce(F.sum("lines").over(earlier), F.lit(0)).alias("line_base"),
+        (F.col("heads_before") + F.coalesce(F.sum("heads").over(earlier), F.lit(0))).alias("head_base"),
+        (F.col("lines_before") + F.coalesce(F.sum("lines").over(earlier), F.lit(0))).alias("line_base"),
         F.last("last_id", ignorenulls=True).over(above).alias("above_id"),
         F.last("last_key", ignorenulls=True).over(above).alias("above_key"),
     )

@@ -3,11 +3,12 @@
 import pytest
 
 from oracle import compare, connect
-from slotloom.operators import model
+from slotloom.operators import model, training
 from slotloom.plans import extract, train
 from slotloom.plans.catalog import load
 from slotloom.sources import documents as docs_io
 from slotloom.sources import templates as io
+from slotloom.session import stage
 from slotloom.sources.lexicon import read_lexicon, write_lexicon
 
 FOLDER = "/root/testdata/sf0.001"
@@ -64,6 +65,34 @@ def test_train_extract_score(spark, tmp_path):
     assert read_lexicon(spark, str(tmp_path / "copy")).collect() == lexicon.collect()
 
 
+def test_balancing_first_gives_the_same_rows(spark, tmp_path):
+    _corpus(tmp_path)
+    for i in range(12):
+        path = tmp_path / "docs" / f"d{i}"
+        path.write_text(path.read_text().replace(" near Paris.", " near Paris while old mills, long roads, tall towers, cold rivers and wide fields stayed."))
+    docs = docs_io.read_documents(spark, str(tmp_path / "docs"))
+    gold = io.gold_texts(io.answer_keys(io.read_templates(spark, str(tmp_path / "keys"))))
+    vectors = spark.createDataFrame([("unknown", [0.0, 1.0]), ("number", [1.0, 0.0])], "word string, vec array<float>")
+    columns = [*train.ROW_KEYS, "features"]
+    late = training.balance_negatives(stage(train.training_rows(docs, gold, vectors), "rows"), train.ROW_KEYS)
+    first = train.training_rows(docs, gold, vectors, balance=True)
+    want = sorted(map(repr, late.select(columns).collect()))
+    assert want and sorted(map(repr, first.select(columns).collect())) == want
+
+
+def test_many_key_files_are_numbered_in_order(spark, tmp_path):
+    (tmp_path / "many").mkdir()
+    for i in range(40):
+        (tmp_path / "many" / f"k{i:02d}").write_text("".join(
+            f'TEXT: d{i}-{k}\nSTATUS: "s{k}"\nSELLER: "more"\n\n' for k in range(1 + i % 3)))
+    found = io.read_templates(spark, str(tmp_path / "many"))
+    want = [f"d{i}-{k}" for i in range(40) for k in range(1 + i % 3)]
+    heads = io.records(found).orderBy("tmpl_ord").collect()
+    assert [(r.tmpl_ord, r.doc_id) for r in heads] == list(enumerate(want))
+    values = [r.value for r in io.values(found).orderBy("val_ord").collect()]
+    assert values == [v for d in want for v in (f'"s{d.split("-")[1]}"', '"more"')]
+
+
 @pytest.mark.parametrize("name", QUICK)
 def test_against_sql(spark, name):
     run, sql = load()[name]
