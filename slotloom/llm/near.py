@@ -8,7 +8,11 @@ shingle that occurs c times weighs ``1 + ln c``.
 so two texts agree on a register with the probability Jaccard similarity of their weights. A process ends as soon
 as its next arrival is later than the latest register of its text.
 
-*Banding.* A band's registers are one key. Texts that share a key are candidates. Equal texts are one node from the
+*Banding.* A band's registers are one key. Texts that share a key are candidates. As a link is defined by sets, a text in
+which a shingle recurs also has the bands of the same process with weight 1, where two texts agree on a register with
+the Jaccard similarity of their sets (a text without such a shingle has these bands already). Registers are independent,
+so a pair of set similarity s shares a band with a chance of at least ``1 - (1 - s ** rows) ** bands``, whatever the
+counts: 0.99992 for 24 bands of 5 at 0.8, and more above. Equal texts are one node from the
 start. No bucket is gathered and its pairs are not listed. First come rounds with one pivot a bucket, the text that shares
 the most buckets with others, which is compared with the members of other classes and then leaves; classes grow by the
 verified links, and a bucket is done when all its members are in one class. What is left in open buckets (texts close to
@@ -85,6 +89,15 @@ def signatures(values: np.ndarray, weights: np.ndarray, rows: np.ndarray, n_rows
     return winner.reshape(n_rows, registers)
 
 
+def _band_keys(signed: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """One key per text and band."""
+    signed = signed.reshape(-1, bands, rows)
+    keys = np.broadcast_to(mix(np.arange(1, bands + 1, dtype=np.uint64)), signed.shape[:2])
+    for i in range(rows):
+        keys = mix(keys * _GOLDEN + signed[:, :, i])
+    return keys
+
+
 def _bands(bands: int, rows: int):
     def scan(batches):
         for batch in batches:
@@ -92,13 +105,19 @@ def _bands(bands: int, rows: int):
             for part in slices(batch.column("text")):
                 values, counts, row, first = shingles(part)
                 n = part.high - part.low
-                signed = signatures(values, 1 + np.log(counts), row, n, bands * rows).reshape(n, bands, rows)
-                keys = np.broadcast_to(mix(np.arange(1, bands + 1, dtype=np.uint64)), (n, bands))
-                for i in range(rows):
-                    keys = mix(keys * _GOLDEN + signed[:, :, i])
+                keys = _band_keys(signatures(values, 1 + np.log(counts), row, n, bands * rows), bands, rows)
                 some = np.flatnonzero(np.diff(first) > 0)
-                yield pa.RecordBatch.from_arrays(
-                    [key.take(pa.array(np.repeat(part.low + some, bands))), pa.array(keys[some].reshape(-1).view(np.int64))], ["key", "bucket"])
+                at, out = np.repeat(part.low + some, bands), keys[some].reshape(-1)
+                uneven = np.bincount(row[counts > 1], minlength=n) > 0
+                if uneven.any():
+                    # the bands of the sets; both kinds share their keys, so they meet those of texts without repeats
+                    place, of = np.cumsum(uneven) - 1, uneven[row]
+                    alike = _band_keys(
+                        signatures(values[of], np.ones(int(of.sum())), place[row[of]], int(uneven.sum()), bands * rows), bands, rows)
+                    new = alike != keys[uneven]
+                    at = np.concatenate([at, part.low + np.flatnonzero(uneven)[np.nonzero(new)[0]]])
+                    out = np.concatenate([out, alike[new]])
+                yield pa.RecordBatch.from_arrays([key.take(pa.array(at)), pa.array(out.view(np.int64))], ["key", "bucket"])
     return scan
 
 
