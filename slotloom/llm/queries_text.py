@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from slotloom.llm import matrices, near, packing, pieces, repeats, rules
+from slotloom.llm import matrices, near, packing, pieces, ranked, repeats, rules
 
 
 def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -52,6 +52,27 @@ def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(docs).select("row.doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op12_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    return ranked.search(docs, spark.read.parquet(f"{folder}/benchmark.parquet").select("item_id", "text"))
+
+
+OP12_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {terms} AS t FROM documents),
+tok AS (SELECT r, doc_id, unnest(t) AS t FROM d),
+size AS (SELECT r, doc_id, count(*) AS n FROM tok GROUP BY r, doc_id),
+g AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM size),
+tf AS (SELECT r, t, count(*) AS tf FROM tok GROUP BY r, t),
+w AS (SELECT t, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, g GROUP BY t, n_docs),
+item AS (SELECT item_id, t, count(*) AS c FROM (SELECT item_id, unnest({terms}) AS t FROM benchmark) GROUP BY item_id, t),
+s AS (SELECT item_id, doc_id, r, CAST(sum(c * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+      FROM item JOIN w USING (t) JOIN tf USING (t) JOIN size USING (r), g GROUP BY item_id, doc_id, r),
+k AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 10""".replace(
+    "{terms}", r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')")
+
+
 QUERIES = {
     "op1_substring_dedup": (op1_substring_dedup, OP1_SQL),
     "op2_packed_matrices": (op2_packed_matrices, None),
@@ -59,4 +80,5 @@ QUERIES = {
     "op5_minhash_near_dedup": (op5_minhash_near_dedup, None),
     "op8_sentencepiece": (op8_sentencepiece, None),
     "op9_best_fit_packing": (op9_best_fit_packing, None),
+    "op12_ranked_search": (op12_ranked_search, OP12_SQL),
 }

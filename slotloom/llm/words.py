@@ -78,8 +78,8 @@ class Slice:
         return self.data[self.starts[i]:self.ends[i]].tobytes()
 
 
-def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[Slice]:
-    """The texts of an Arrow column, in order, in slices. A null is a text without words."""
+def slices(texts: pa.Array, limit: int = SLICE_BYTES, blank: np.ndarray = SPACE) -> Iterator[Slice]:
+    """The texts of an Arrow column, in order, in slices. A null is a text without words; ``blank`` says which bytes part words."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     texts = texts.cast(pa.large_binary())
@@ -88,12 +88,12 @@ def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[Slice]:
     low = 0
     while low < len(texts):
         high = max(low + 1, int(np.searchsorted(offsets, offsets[low] + limit, side="right")) - 1)
-        yield _split(low, high, data[offsets[low]:offsets[high]], offsets[low:high + 1] - offsets[low])
+        yield _split(low, high, data[offsets[low]:offsets[high]], offsets[low:high + 1] - offsets[low], blank)
         low = high
 
 
-def _split(low: int, high: int, data: np.ndarray, offsets: np.ndarray) -> Slice:
-    inked = ~SPACE[data]
+def _split(low: int, high: int, data: np.ndarray, offsets: np.ndarray, blank: np.ndarray) -> Slice:
+    inked = ~blank[data]
     before = np.concatenate([[False], inked[:-1]]) if len(data) else inked.copy()
     before[offsets[:-1][offsets[:-1] < len(data)]] = False
     after = np.concatenate([inked[1:], [False]]) if len(data) else inked.copy()
