@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from slotloom.llm import nearest, shards, urls, warc
+from slotloom.llm import mining, nearest, shards, urls, warc
 from slotloom.session import scratch_path
 
 RULES = [
@@ -57,9 +58,29 @@ m AS (SELECT page_id, host, path, rh || rp AS rule, rv,
 SELECT page_id, host, path, rule, coalesce(rv, 'allow') AS verdict FROM m WHERE k = 1""".replace(
     "{rules}", ", ".join(str(r) for r in RULES))
 
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    table = spark.read.parquet(f"{folder}/embeddings.parquet").select("vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mining.hard_negatives(table.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+OP13_SQL = """
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+      list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+      WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, e.vec_id AS id, a.label = e.label AS same, CAST(list_dot_product(a.v, e.v) AS BIGINT) AS score
+      FROM e AS a JOIN e ON a.vec_id <> e.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+n AS (SELECT anchor_id, positive_id, id AS negative_id, positive_score, score AS negative_score,
+      CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS INTEGER) AS rank
+      FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+SELECT * FROM n WHERE rank <= 10"""
+
 QUERIES = {
     "op3_learned_partitions": (op3_learned_partitions, None),
     "op6_warc_revisits": (op6_warc_revisits, OP6_SQL),
     "op7_sampled_splitters": (op7_sampled_splitters, None),
     "op10_url_filters": (op10_url_filters, OP10_SQL),
+    "op13_hard_negatives": (op13_hard_negatives, OP13_SQL),
 }
