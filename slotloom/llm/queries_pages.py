@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotloom.llm import mining, nearest, shards, urls, warc
+from slotloom.llm import blocks, mining, nearest, shards, urls, warc
 from slotloom.session import scratch_path
 
 RULES = [
@@ -58,6 +58,11 @@ m AS (SELECT page_id, host, path, rh || rp AS rule, rv,
 SELECT page_id, host, path, rule, coalesce(rv, 'allow') AS verdict FROM m WHERE k = 1""".replace(
     "{rules}", ", ".join(str(r) for r in RULES))
 
+def op11_block_labeller(spark: SparkSession, folder: str) -> DataFrame:
+    pages = spark.read.parquet(f"{folder}/pages.parquet").select("page_id", "url", "html")
+    return blocks.extract(pages).select("row.page_id", "row.url", "text", "n_chars")
+
+
 def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     table = spark.read.parquet(f"{folder}/embeddings.parquet").select("vec_id", "embedding", "label")
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -82,5 +87,6 @@ QUERIES = {
     "op6_warc_revisits": (op6_warc_revisits, OP6_SQL),
     "op7_sampled_splitters": (op7_sampled_splitters, None),
     "op10_url_filters": (op10_url_filters, OP10_SQL),
+    "op11_block_labeller": (op11_block_labeller, None),
     "op13_hard_negatives": (op13_hard_negatives, OP13_SQL),
 }
