@@ -7,13 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from slotloom.functions.text import let, ranked_loc, strip, word_ranks
+from slotloom.functions.matching import contained
+from slotloom.functions.text import ranked_loc, strip, word_ranks
 
 SENTENCE = ("doc_id", "sent_idx")
 
-# Texts above this many characters are cut through an array of their characters.
-LONG_TEXT = 256
-
 # Fixed value: two place names up to this many characters apart are one place.
 PLACE_GAP = 7
 
@@ -28,31 +26,31 @@ def dedup_entities(spans: DataFrame, keys: tuple[str, ...] = SENTENCE) -> DataFr
     )
 
 
+def gathered_pairs(outer: DataFrame, inner: DataFrame, keys: list[str], find: Callable[[Column, Column], Column]) -> DataFrame:
+    """Pairs of rows with equal ``keys``, chosen by ``find``, with the columns of both.
+
+    The rows of each side are gathered, and ``find`` takes both arrays of structs
+    and gives the places (o, i) of the pairs. A group is a document or a
+    sentence, so its row is bounded by that. Rows with a null key are in no pair.
+    """
+    def gathered(side: DataFrame, name: str) -> DataFrame:
+        others = [c for c in side.columns if c not in keys]
+        return side.groupBy(*keys).agg(F.collect_list(F.struct(*others)).alias(name))
+
+    both = gathered(outer, "outs").join(gathered(inner, "ins"), keys)
+    pick = lambda side, rows, at: [F.get(rows, at)[c].alias(c) for c in side.columns if c not in keys]
+    found = both.withColumn("hits", find(F.col("outs"), F.col("ins")))
+    pairs = F.transform("hits", lambda h: F.struct(*pick(outer, F.col("outs"), h["o"]), *pick(inner, F.col("ins"), h["i"])))
+    return found.select(*keys, F.inline(pairs))
+
+
 def containments(outer: DataFrame, inner: DataFrame, keys: list[str]) -> DataFrame:
     """Pairs where ``inner.needle`` is a substring of ``outer.o_text``, within equal ``keys``.
 
-    An equi-join on text: every outer text offers its substrings, but only of
-    the lengths its group's needles have. So only true pairs are emitted,
-    whatever the group's size, and a large group spreads over all tasks.
+    An automaton over a group's needles finds them in its texts, in time linear
+    in the texts and the hits. Null texts are in no pair.
     """
-    lengths = inner.groupBy(*keys).agg(F.collect_set(F.length("needle")).alias("lengths"))
-    text = F.col("o_text")
-
-    def cut(n: Column, piece: Callable[[Column], Column]) -> Column:
-        places = F.sequence(F.lit(1), F.length(text) - n + 1)
-        return F.when(n == 0, F.array(F.lit(""))).otherwise(F.transform(places, piece))
-
-    fitting = F.filter("lengths", lambda n: n <= F.length(text))
-    short = F.transform(fitting, lambda n: cut(n, lambda i: F.substr(text, i, n)))
-    # Reaching a place in a string walks over all before it; in a long one an array of characters is used.
-    long = let(
-        F.split(text, ""),
-        lambda chars: F.transform(fitting, lambda n: cut(n, lambda i: F.array_join(F.slice(chars, i, n), ""))),
-    )
-    offered = F.array_distinct(F.flatten(F.when(F.length(text) <= LONG_TEXT, short).otherwise(long)))
-    return outer.join(lengths, keys).withColumn("needle", F.explode(offered)).drop("lengths").join(
-        inner, [*keys, "needle"]
-    )
+    return gathered_pairs(outer, inner, keys, lambda outs, ins: contained(outs["o_text"], ins["needle"]))
 
 
 def _pairs(ents: DataFrame, needle: Column, keys: list[str]) -> DataFrame:
@@ -204,6 +202,6 @@ def token_places(tokens: DataFrame, compat: bool) -> DataFrame:
 
 
 __all__ = [
-    "containments", "dedup_entities", "end_place", "mark_references", "mark_references_in_order", "match_to_chunk",
+    "containments", "dedup_entities", "gathered_pairs", "end_place", "mark_references", "mark_references_in_order", "match_to_chunk",
     "merge_locations", "possessive_core", "token_places",
 ]

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from slotloom.functions.matching import nested_sets
 from slotloom.functions.text import ranked_loc, strip_punct, word_ranks, ws_tokens
 from slotloom.operators.annotate import drop_boilerplate
-from slotloom.operators.entities import SENTENCE, containments, end_place, token_places
+from slotloom.operators.entities import SENTENCE, containments, end_place, gathered_pairs, token_places
 from slotloom.slots import NO_ENTITY, NO_SLOT
 
 CHUNK = [*SENTENCE, "ord"]
@@ -22,29 +23,18 @@ def gold_by_slot(gold: DataFrame) -> DataFrame:
 def overlaps(chunks: DataFrame, gold: DataFrame) -> DataFrame:
     """L2: chunk and gold pairs of a document where one's tokens are all among the other's.
 
-    Only the gold side drops punctuation. Tokens meet in an equi-join and are
-    counted, so chunks and gold texts without a common token never pair up.
+    Only the gold side drops punctuation. A document's chunks and gold texts meet
+    in one row. There the tokens are ordered by how many sets of the other side
+    hold them, and a set is looked up by its rarest token alone: whoever contains
+    it holds that one. So a token of every chunk pairs nothing, unless it is all
+    of a gold text. A gold text without tokens has all its tokens in every chunk.
     """
-    c_tokens = F.array_distinct(ws_tokens(F.col("text")))
-    g_tokens = F.array_distinct(F.transform(ws_tokens(F.col("text")), strip_punct))
-    left = chunks.select(*CHUNK, F.col("text").alias("chunk_text"), c_tokens.alias("c")).select(
-        *CHUNK, "chunk_text", F.size("c").alias("c_size"), F.explode_outer("c").alias("token")
-    )
-    right = gold.select("doc_id", F.col("text").alias("gold_text"), "slot", g_tokens.alias("g"))
-    by_token = right.select(
-        "doc_id", "gold_text", "slot", F.size("g").alias("g_size"), F.explode_outer("g").alias("token")
-    )
-    pair = [*CHUNK, "chunk_text", "gold_text", "slot"]
-    shared = (
-        left.join(by_token, ["doc_id", "token"])
-        .groupBy(*pair, "c_size", "g_size")
-        .agg(F.count("*").alias("n"))
-        .filter("n = c_size OR n = g_size")
-    )
-    # A gold text without tokens has all its tokens in every chunk; there is at most one kind per document.
-    blank = right.filter(F.size("g") == 0).select("doc_id", "gold_text", "slot")
-    always = chunks.select(*CHUNK, F.col("text").alias("chunk_text")).join(blank, "doc_id")
-    return shared.select(*pair).unionByName(always.select(*pair))
+    pairs = gathered_pairs(
+        chunks.select(*CHUNK, F.col("text").alias("chunk_text"), F.array_distinct(ws_tokens(F.col("text"))).alias("c")),
+        gold.select("doc_id", F.col("text").alias("gold_text"), "slot").distinct().withColumn(
+            "g", F.array_distinct(F.transform(ws_tokens(F.col("gold_text")), strip_punct))),
+        ["doc_id"], lambda outs, ins: nested_sets(outs["c"], ins["g"]))
+    return pairs.select(*CHUNK, "chunk_text", "gold_text", "slot")
 
 
 def negatives(chunks: DataFrame, pairs: DataFrame) -> DataFrame:

@@ -152,7 +152,7 @@ def _with_records(rows: DataFrame, all_rows: DataFrame) -> DataFrame:
 
 def templates(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """(output, gold) template tables; every order is a record on both sides."""
-    rows = template_values(spark, folder)
+    rows = stage(template_values(spark, folder), "template_values")
     keys = ["tmpl_ord", "doc_id", "slot", "val_ord"]
     gold = rows.select(*keys, F.col("gold_value").alias("value"))
     resp = rows.filter("answered").select(*keys, F.col("resp_value").alias("value"))

@@ -19,14 +19,14 @@ def score_files(spark: SparkSession, output: str, gold: str, by: str = "position
     faults = {"size_errors": scoring.check_sizes(answers, keys), "mismatched": scoring.mismatched(answers, keys)}
     if records(answers).count() != records(keys).count():
         return faults
-    tallies = stage(scoring.tally(answers, keys, by), "tally")
+    pairs = stage(scoring.paired(answers, keys, by), "pairs")
+    tallies = stage(scoring.tally_of(pairs), "tally")
     documents, corpus = scoring.document_scores(tallies), scoring.corpus_scores(tallies)
-    pairs = scoring.align(answers, keys, by)
     return {
         "tally": tallies,
         "documents": documents,
         "corpus": corpus,
         **faults,
         "corpus_report": report.corpus_report(corpus),
-        "document_report": report.document_report(pairs, answers, keys, documents),
+        "document_report": report.document_report(pairs),
     }
