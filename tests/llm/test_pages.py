@@ -39,6 +39,46 @@ def test_warc_round_trip(spark):
     assert warc.read(spark, none).count() == 0
 
 
+def test_any_bytes_and_foreign_archives(spark, tmp_path):
+    jpeg = bytes(range(256)) * 3
+    df = spark.createDataFrame([(1, "a", jpeg), (2, "b", jpeg), (3, "c", b"\xff\xfe\x00"), (4, "d", jpeg[:99])], "page_id long, url string, html binary").coalesce(1)
+    raw, out = scratch_path(spark, "warc"), scratch_path(spark, "warc")
+    warc.write_pages(df, raw)
+    data = open(next(str(p) for p in __import__("pathlib").Path(raw).glob("part-*")), "rb").read()
+    members = 0
+    while data.strip(b"\x00"):  # one gzip member per record
+        opened = zlib.decompressobj(31)
+        assert opened.decompress(data).startswith(b"WARC/1.0\r\n")
+        members, data = members + 1, opened.unused_data
+    assert members == 4
+    warc.write_resolved(spark, raw, out)
+    got = {r.page_id: (r.record_type, r.refers_to, r.payload_digest) for r in warc.report(spark, out).collect()}
+    sha = hashlib.sha256(jpeg).hexdigest()
+    assert got[1] == ("response", None, sha) and got[2] == ("revisit", 1, sha) and got[4][0] == "response"
+    assert got[3] == ("response", None, hashlib.sha256(b"\xff\xfe\x00").hexdigest())
+
+    def part(kind, block, *more):
+        head = [f"warc-type: {kind}", f"Content-Length: {len(block)}", *more]
+        return b"WARC/1.1\r\n" + "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+    http = b"HTTP/1.1 200 OK\r\ncontent-length: 768\r\n\r\n"
+    sha1 = "WARC-Payload-Digest: SHA1:ABCDEF"
+    archive = (part("warcinfo", b"software: x") + part("request", b"GET / HTTP/1.1\r\n\r\n")
+               + part("response", http + jpeg, "WARC-Record-ID: <urn:r1>", "WARC-Target-URI: http://one", "WARC-Date: 2020-01-01T00:00:00Z", sha1)
+               + part("response", http + jpeg, "WARC-Record-ID: <urn:r2>", "WARC-Target-URI: http://two")
+               + part("revisit", http, "WARC-Record-ID: <urn:r3>", sha1) + part("revisit", b"", "WARC-Record-ID: <urn:r4>", "WARC-Payload-Digest: sha1:OTHER")
+               + part("response", b"no http at all", "WARC-Target-URI: dns:x"))
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "x.warc").write_bytes(archive)
+    again = scratch_path(spark, "warc")
+    warc.write_resolved(spark, str(tmp_path / "in"), again, files="*.warc")
+    found = {r.record_id: r for r in warc.read(spark, again).collect()}
+    assert {k: (r.record_type, r.refers_to_id) for k, r in found.items() if k.startswith("urn:r")} == {
+        "urn:r1": ("response", None), "urn:r2": ("revisit", "urn:r1"), "urn:r3": ("revisit", "urn:r1"), "urn:r4": ("revisit", None)}
+    assert len(found) == 5 and found["urn:r3"].payload_bytes == 768 and found["urn:r2"].payload_digest == sha
+    assert {r.payload_bytes for r in found.values() if not r.record_id.startswith("urn:r")} == {14}
+
+
 def test_shards(spark):
     rng = random.Random(4)
     texts = ["x" * rng.randint(0, 400) + str(i) for i in range(2000)] + ["same text " * 9] * 300 + [None, None, "", "huge" * 700] + ["hot " * 100] * 2500
