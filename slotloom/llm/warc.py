@@ -36,7 +36,8 @@ from slotloom.session import broadcast_if_small, stage
 
 FILE_BYTES = 8 << 20
 LEAST_BYTES = 100
-LEVEL = 3
+# Levels of gzip in archives and of zstd in the parsed table.
+LEVEL, PARSED_LEVEL = 5, 5
 # Fixed values of the format.
 VERSION = b"WARC/1.0"
 PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
@@ -165,7 +166,7 @@ def read(spark: SparkSession, folder: str, payloads: bool = False, files: str =
     def rows(batches):
         import zstandard
 
-        press = zstandard.ZstdCompressor(level=1)
+        press = zstandard.ZstdCompressor(level=PARSED_LEVEL)
         for batch in batches:
             for data in batch.column("content"):
                 raw = data.as_py()
