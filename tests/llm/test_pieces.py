@@ -52,3 +52,27 @@ def test_unigram_with_byte_fallback(tmp_path):
         ids, offsets, parity, _ = next(codec.encode(pa.array(texts)))
         assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == other.encode(texts)
         assert codec.by_chunk == (not strip) and parity.all()
+
+
+def test_a_wrong_rebuild_shows_in_ids_and_parity(tmp_path):
+    """Ids come from the rebuilt model: one piece too few, and other ids and a false parity come out."""
+    path = tmp_path / "m.model"
+    path.write_bytes(unigram_model(False).SerializeToString())
+    codec, texts = pieces.Codec(str(path)), pa.array(["abab ba", "bb", "z abab", None, ""])
+    broken = unigram_model(False)
+    next(p for p in broken.pieces if p.piece == "abab").score = -50.0
+    codec.tokenizer = pieces.rebuild(broken, prefix=False)
+    ids, offsets, parity, round_trip = next(codec.encode(texts))
+    right, right_offsets, _, _ = next(pieces.Codec(str(path)).encode(texts))
+    spans = lambda x, o: [x[a:b].tolist() for a, b in zip(o, o[1:])]
+    assert parity.tolist() == [False, True, False, True, True] and round_trip.all()
+    assert [a == b for a, b in zip(spans(ids, offsets), spans(right, right_offsets))] == parity.tolist()
+
+
+def test_whole_texts_equal_the_other_library_on_the_given_tables(spark):
+    """Parity by chunk is parity of whole texts: every given text of a small table, encoded whole by the other library."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    other = sentencepiece.SentencePieceProcessor(model_file=default_path("piece_bpe_32k.model"))
+    for r in pieces.encode(docs).collect():
+        assert r.parity == (list(r.ids) == other.encode(texts[r.row.doc_id])) and r.parity
