@@ -15,7 +15,7 @@ from slotloom.session import local_session
 
 HEADLINES = (
     "r9_corpus_scores", "s3_read_templates", "t1_sentences", "t3_annotate", "e5_lexicon_hits", "e2_mark_references",
-    "f10_nearest_verb_rules", "l2_overlap_label", "c7_all_candidates",
+    "f10_nearest_verb_rules", "l2_overlap_label", "c7_all_candidates", "s13_document_report", "f1_freq_in_doc",
 )
 
 
