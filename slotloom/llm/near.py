@@ -40,6 +40,8 @@ from slotloom.session import broadcast_if_small, stage
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 24, 5
+# Bytes of text and rows that a worker takes at once.
+SLICE_BYTES, FEW_ROWS = 2 << 20, 512
 # Rows of a text with very many copies are dealt into so many parts.
 PARTS = 64
 
@@ -105,7 +107,7 @@ def _bands(bands: int, rows: int):
     def scan(batches):
         for batch in batches:
             key = batch.column("key")
-            for part in slices(batch.column("text")):
+            for part in slices(batch.column("text"), SLICE_BYTES):
                 values, counts, row, first = shingles(part)
                 n = part.high - part.low
                 keys = _band_keys(signatures(values, 1 + np.log(counts), row, n, bands * rows), bands, rows)
@@ -124,11 +126,18 @@ def _bands(bands: int, rows: int):
     return scan
 
 
+def _few(batches):
+    """The rows of batches in small batches, so that a worker holds few texts or sets at once."""
+    for batch in batches:
+        for low in range(0, batch.num_rows, FEW_ROWS):
+            yield batch.slice(low, FEW_ROWS)
+
+
 def _packed(batches):
     import zstandard
 
     press = zstandard.ZstdCompressor(level=3)
-    for batch in batches:
+    for batch in _few(batches):
         texts = batch.column("text").cast(pa.binary()).to_pylist()
         yield pa.RecordBatch.from_arrays(
             [batch.column("node"), pa.array([press.compress(t or b"") for t in texts], pa.binary())], ["node", "packed"])
@@ -140,9 +149,9 @@ def _sets(registers: int):
         import zstandard
 
         open_ = zstandard.ZstdDecompressor()
-        for batch in batches:
+        for batch in _few(batches):
             texts = pa.array([open_.decompress(t) for t in batch.column("packed").to_pylist()], pa.large_binary())
-            for part in slices(texts):
+            for part in slices(texts, SLICE_BYTES):
                 values, _, row, first = shingles(part)
                 n, raw = part.high - part.low, values.tobytes()
                 low = (signatures(values, np.ones(len(values)), row, n, registers) & np.uint64(255)).astype(np.uint8)
@@ -171,7 +180,7 @@ def _alike(similarity: float, registers: int):
 
 def _similar(similarity: float):
     def compare(batches):
-        for batch in batches:
+        for batch in _few(batches):
             keep = []
             for a, b in zip(batch.column("a_held").to_pylist(), batch.column("b_held").to_pylist()):
                 both = np.concatenate([np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)])
@@ -242,7 +251,7 @@ def classes_of(keyed: DataFrame, similarity: float = SIMILARITY, bands: int = BA
 
 
 def _tokens(batches):
-    for batch in batches:
+    for batch in _few(batches):
         held = [np.frombuffer(x, np.int64) for x in batch.column("held").to_pylist()]
         at = pa.array(np.repeat(np.arange(len(held)), [len(x) for x in held]))
         yield pa.RecordBatch.from_arrays(
