@@ -54,17 +54,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def is_small(df: DataFrame, column: str, limit: int = BROADCAST_LIMIT) -> bool:
+    """Whether the table measures below ``limit`` bytes; ``column`` is its widest column, summed by one aggregate."""
+    is_array = df.schema[column].dataType.typeName() == "array"
+    width = F.size(column) * F.lit(8) if is_array else F.octet_length(F.col(column))
+    measured = df.agg(F.sum(width.cast("long") + F.lit(64)).alias("n")).first()["n"] or 0
+    return measured <= limit
+
+
 def broadcast_if_small(df: DataFrame, column: str, limit: int = BROADCAST_LIMIT) -> DataFrame:
     """Hint a broadcast when the table measures below ``limit``; else leave the plan to Spark.
 
-    ``column`` is the widest column. Its total size is measured by one aggregate
-    over the table. Beyond the limit the join shuffles, and adaptive execution
-    splits the partitions of hot keys.
+    Beyond the limit the join shuffles, and adaptive execution splits the
+    partitions of hot keys.
     """
-    is_array = df.schema[column].dataType.typeName() == "array"
-    width = F.size(column) * F.lit(8) if is_array else F.octet_length(F.col(column))
-    measured = df.agg(F.sum(width.cast("long") + F.lit(64)).alias("n")).first()["n"] or 0
-    return F.broadcast(df) if measured <= limit else df
+    return F.broadcast(df) if is_small(df, column, limit) else df
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
