@@ -138,6 +138,35 @@ def merge_locations(ents: DataFrame, sents: DataFrame, gap: int = PLACE_GAP) ->
     )
 
 
+def sentence_tokens(sents: DataFrame, tokens: DataFrame, compat: bool = True) -> DataFrame:
+    """A row per sentence with what E7 looks up in it: ``sent``, its word ``ranks`` and its tokens ``toks`` in order."""
+    fields = F.struct("tok_idx", "tok") if compat else F.struct("tok_idx", "tok", "start", "end")
+    gathered = tokens.groupBy(*SENTENCE).agg(F.sort_array(F.collect_list(fields)).alias("toks"))
+    return sents.select(*SENTENCE, "sent", word_ranks(F.col("sent")).alias("ranks")).join(gathered, list(SENTENCE), "left")
+
+
+def standing(text: Column, chunk_root: Column, compat: bool) -> Column:
+    """E7 beside the columns of :func:`sentence_tokens`: the struct ``(anchor, root_idx)`` that stands for ``text``.
+
+    ``chunk_root`` is the root of the first chunk of equal text, or null.
+    """
+    b = ranked_loc(text, F.col("sent"), F.col("ranks"))["b"]
+    last_char = F.position(text, F.col("sent")) + F.length(text) - 2
+    toks = F.col("toks")
+    if compat:
+        at = F.greatest(b - 1, F.lit(0))
+        last = F.get(toks, F.size(toks) - 1)
+        token = F.when(b == 0, last).otherwise(F.get(F.filter(toks, lambda t: t["tok_idx"] == at), F.lit(0)))
+    else:
+        covers = F.filter(toks, lambda t: (t["start"] <= last_char) & (last_char < t["end"]))
+        token = F.when(b > 0, F.get(covers, F.lit(0)))
+    head = F.get(F.filter(toks, lambda t: t["tok_idx"] == 0), F.lit(0))
+    chosen = F.coalesce(token, head)
+    return F.when(
+        chunk_root.isNotNull(), F.struct(text.alias("anchor"), chunk_root.cast("int").alias("root_idx"))
+    ).otherwise(F.struct(chosen["tok"].alias("anchor"), chosen["tok_idx"].cast("int").alias("root_idx")))
+
+
 def match_to_chunk(
     texts: DataFrame, chunks: DataFrame, tokens: DataFrame, sents: DataFrame, compat: bool = True
 ) -> DataFrame:
@@ -147,39 +176,19 @@ def match_to_chunk(
     first token. ``compat`` takes the white-space index of the text's end as a
     token index, as trained models expect, and the last token for an empty
     text; otherwise the token is the one that covers the text's last character.
+    Texts meet chunks in one aggregate, and their sentence in one row.
     """
     key = [*SENTENCE, "text"]
-    wanted = texts.select(*key).distinct()
-    equal = (
-        chunks.groupBy(*key).agg(F.min_by("root_idx", "ord").alias("chunk_root"))
-    )
-    by_chunk = wanted.join(equal, key, "left")
-    found = by_chunk.filter("chunk_root IS NOT NULL").select(
-        *key, F.col("text").alias("anchor"), F.col("chunk_root").alias("root_idx")
-    )
-    located = (
-        by_chunk.filter("chunk_root IS NULL")
-        .join(sents.select(*SENTENCE, "sent", word_ranks(F.col("sent")).alias("ranks")), list(SENTENCE))
-        .select(
-            *key,
-            ranked_loc(F.col("text"), F.col("sent"), F.col("ranks"))["b"].alias("b"),
-            (F.position("text", "sent") + F.length("text") - 2).alias("last_char"),
-        )
-    )
-    place = end_place(F.col("b"), F.col("last_char"), compat)
-    first = tokens.filter("tok_idx = 0").select(*SENTENCE, F.col("tok").alias("first_tok"))
-    by_token = (
-        located.withColumn("place", place)
-        .join(token_places(tokens, compat), [*SENTENCE, "place"], "left")
-        .join(first, list(SENTENCE), "left")
-    )
-    missed = F.col("tok_idx").isNull()
-    return found.unionByName(
-        by_token.select(
-            *key,
-            F.coalesce("tok", "first_tok").alias("anchor"),
-            F.when(missed & F.col("first_tok").isNotNull(), 0).otherwise(F.col("tok_idx")).alias("root_idx"),
-        )
+    wanted = texts.select(*key, F.lit(True).alias("wanted"), F.lit(None).cast("int").alias("root_idx"), F.lit(None).cast("long").alias("ord"))
+    offered = chunks.select(*key, F.lit(False).alias("wanted"), F.col("root_idx").cast("int"), F.col("ord").cast("long"))
+    met = wanted.unionByName(offered).groupBy(*key).agg(
+        F.max("wanted").alias("wanted"), F.min_by("root_idx", "ord").alias("chunk_root")
+    ).filter("wanted AND text IS NOT NULL")
+    return (
+        met.join(sentence_tokens(sents, tokens, compat), list(SENTENCE), "left")
+        .filter("chunk_root IS NOT NULL OR sent IS NOT NULL")
+        .withColumn("found", standing(F.col("text"), F.col("chunk_root"), compat))
+        .select(*key, "found.anchor", "found.root_idx")
     )
 
 
@@ -203,5 +212,5 @@ def token_places(tokens: DataFrame, compat: bool) -> DataFrame:
 
 __all__ = [
     "containments", "dedup_entities", "gathered_pairs", "end_place", "mark_references", "mark_references_in_order", "match_to_chunk",
-    "merge_locations", "possessive_core", "token_places",
+    "merge_locations", "possessive_core", "sentence_tokens", "standing", "token_places",
 ]
