@@ -1,4 +1,4 @@
-"""Matching within one row that array expressions cannot do in linear time: R5's queues, and texts in texts.
+"""Matching within one row that array expressions cannot do in linear time: R5's queues, texts in texts, and E4's windows.
 
 Both work on whole Arrow arrays. A texts-in-texts search builds an automaton over the row's needles once and passes each
 of its texts through it, so its time follows the texts and the hits, not needles times texts.
@@ -205,3 +205,69 @@ def _occurring(texts: pa.Array, needles: pa.Array) -> pa.Array:
 def frequencies(text: Column, needles: Column) -> Column:
     """F1 for a document: the non-overlapping occurrences of each of an array of texts."""
     return F.arrow_udf(_occurring, "array<int>")(text, needles)
+
+
+# Odd, so that it has an inverse modulo 2^64; any odd number with well mixed bits would do.
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    if n:
+        out[0] = 1
+    return np.multiply.accumulate(out)
+
+
+def window_hashes(words: np.ndarray, lengths: list[int]):
+    """(length, hashes of all windows of that many words) for arrays of 64-bit word hashes.
+
+    The hash of words w[0], w[1], ... is the sum of w[i] * base^i modulo 2^64. With the sums of all prefixes, the hash of any
+    window is one difference, brought back to its start by a power of the base's inverse, whatever its length.
+    """
+    n = len(words)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(words.astype(np.uint64) * _powers(_BASE, n), dtype=np.uint64)])
+    back = _powers(_INVERSE, n)
+    for length in lengths:
+        if 0 < length <= n:
+            yield length, (sums[length:] - sums[:-length]) * back[:n - length + 1]
+
+
+def _windows(lengths: list[int], known: np.ndarray | None):
+    kind = pa.list_(pa.struct([("tok_idx", pa.int32()), ("n_tok", pa.int32()), ("hash", pa.int64())]))
+
+    def find(words: pa.Array) -> pa.Array:
+        flat, ends = words.flatten().to_numpy(zero_copy_only=False).view(np.uint64), _offsets(words)
+        sizes, parts = [0], []
+        for low, high in zip(ends[:-1], ends[1:]):
+            n = 0
+            for length, hashes in window_hashes(flat[low:high], lengths):
+                at = np.arange(len(hashes)) if known is None else np.flatnonzero(np.isin(hashes, known))
+                parts.append((at.astype(np.int32), np.full(len(at), length, np.int32), hashes[at].view(np.int64)))
+                n += len(at)
+            sizes.append(n)
+        joined = [np.concatenate(x) for x in zip(*parts)] if parts else [np.empty(0, t) for t in (np.int32, np.int32, np.int64)]
+        values = pa.StructArray.from_arrays([pa.array(x) for x in joined], ["tok_idx", "n_tok", "hash"])
+        return pa.ListArray.from_arrays(pa.array(np.cumsum(sizes), pa.int32()), values).cast(kind)
+
+    return find
+
+
+def windows(words: Column, lengths: list[int], known: list[int] | None = None) -> Column:
+    """All windows of the given numbers of words, ``(tok_idx, n_tok, hash)``; only those whose hash is in ``known``, if given.
+
+    ``words`` is an array of 64-bit hashes.
+    """
+    wanted = None if known is None else np.unique(np.array(known, np.int64)).view(np.uint64)
+    return F.arrow_udf(_windows(lengths, wanted), "array<struct<tok_idx:int,n_tok:int,hash:bigint>>")(words)
+
+
+def _whole(words: pa.Array) -> pa.Array:
+    flat, ends = words.flatten().to_numpy(zero_copy_only=False).view(np.uint64), _offsets(words)
+    found = [int(next(window_hashes(flat[a:b], [b - a]))[1][0]) if a < b else None for a, b in zip(ends[:-1], ends[1:])]
+    return pa.array(found, pa.uint64()).view(pa.int64())
+
+
+def window_hash(words: Column) -> Column:
+    """The hash that :func:`windows` gives to a window of exactly these words; null for none."""
+    return F.arrow_udf(_whole, "bigint")(words)

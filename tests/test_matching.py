@@ -2,11 +2,13 @@
 
 import random
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from slotloom.functions import matching
 from slotloom.functions.text import strip_punct, ws_tokens
-from slotloom.operators import entities, features, scoring, training
+from slotloom.operators import entities, features, lexicons, scoring, training
 from slotloom.sources import report
 
 TEMPLATE = "tmpl_ord long, doc_id string, slot string, val_ord long, value string"
@@ -116,3 +118,40 @@ def test_occurrences_do_not_overlap(spark):
     texts = spark.createDataFrame([(1, "aa"), (1, "aa"), (1, "ana"), (1, "é"), (1, ""), (2, "y"), (3, "z")], "doc_id int, text string")
     got = {(r.doc_id, r.text): r.freq for r in features.frequencies_in(texts, docs).collect()}
     assert got == {(1, "aa"): 2, (1, "ana"): 1, (1, "é"): 2, (1, ""): 16, (2, "y"): 0}
+
+
+def _plain_spans(words, phrases):
+    return sorted((i, len(p), " ".join(p)) for p in phrases for i in range(len(words) - len(p) + 1) if words[i:i + len(p)] == p)
+
+
+@pytest.mark.parametrize("limit", [0, 1000])
+def test_phrase_spans_of_any_length(spark, limit):
+    draw = random.Random(8)
+    words = [draw.choice("ab") for _ in range(1500)] + [f"w{i}" for i in range(300)]
+    phrases = [["a"], ["a", "b", "a"], words[40:240], words[1480:1800], ["zz"]]
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, None), (3, ""), (4, "a")], "doc_id int, text string")
+    table = spark.createDataFrame([(i, " ".join(p)) for i, p in enumerate(phrases)] + [(9, ""), (10, None), (11, "a")], "phrase_ord int, phrase string")
+    got = lexicons.phrase_spans(docs, table, limit).collect()
+    assert sorted((r.tok_idx, r.n_tok, r.text) for r in got if r.doc_id == 1) == _plain_spans(words, phrases)
+    assert [(r.doc_id, r.tok_idx) for r in got if r.doc_id != 1] == [(4, 0)]
+
+
+def test_phrase_plan_does_not_grow_with_the_phrases(spark):
+    docs = spark.createDataFrame([(1, "a b")], "doc_id int, text string")
+    sizes = []
+    for n in (2, 200):
+        table = spark.createDataFrame([(0, " ".join(["a"] * n))], "phrase_ord int, phrase string")
+        plan = lexicons.phrase_spans(docs, table, 0)._jdf.queryExecution().optimizedPlan().toString()
+        sizes.append(len(plan.splitlines()))
+    assert sizes[0] == sizes[1]
+
+
+def test_window_hashes_equal_for_equal_windows():
+    draw = random.Random(3)
+    words = np.array([draw.randrange(4) for _ in range(400)], np.uint64) * np.uint64(0x123456789ABCDEF1)
+    for n, hashes in matching.window_hashes(words, [1, 3, 7, 500]):
+        assert n < 500 and len(hashes) == len(words) - n + 1
+        seen = {}
+        for i, h in enumerate(hashes.tolist()):
+            assert seen.setdefault(h, tuple(words[i:i + n])) == tuple(words[i:i + n])
+        assert len(seen) == len({tuple(words[i:i + n]) for i in range(len(hashes))})
