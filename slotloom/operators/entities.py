@@ -153,18 +153,20 @@ def standing(text: Column, chunk_root: Column, compat: bool) -> Column:
     b = ranked_loc(text, F.col("sent"), F.col("ranks"))["b"]
     last_char = F.position(text, F.col("sent")) + F.length(text) - 2
     toks = F.col("toks")
-    if compat:
-        at = F.greatest(b - 1, F.lit(0))
-        last = F.get(toks, F.size(toks) - 1)
-        token = F.when(b == 0, last).otherwise(F.get(F.filter(toks, lambda t: t["tok_idx"] == at), F.lit(0)))
-    else:
-        covers = F.filter(toks, lambda t: (t["start"] <= last_char) & (last_char < t["end"]))
-        token = F.when(b > 0, F.get(covers, F.lit(0)))
-    head = F.get(F.filter(toks, lambda t: t["tok_idx"] == 0), F.lit(0))
-    chosen = F.coalesce(token, head)
-    return F.when(
-        chunk_root.isNotNull(), F.struct(text.alias("anchor"), chunk_root.cast("int").alias("root_idx"))
-    ).otherwise(F.struct(chosen["tok"].alias("anchor"), chosen["tok_idx"].cast("int").alias("root_idx")))
+    token_at = lambda i: F.get(toks, F.array_position(toks["tok_idx"], i).cast("int") - 1)
+
+    def of_place(x: Column) -> Column:
+        if compat:
+            return F.when(x == 0, F.get(toks, F.size(toks) - 1)).otherwise(token_at(F.greatest(x - 1, F.lit(0)).cast("int")))
+        return F.get(F.filter(toks, lambda t: (t["start"] <= x) & (x < t["end"])), F.lit(0))
+
+    # Bound by a lambda, the place is found once and not once per token.
+    place = b if compat else F.when(b > 0, last_char)
+    token = F.get(F.transform(F.array(place), of_place), F.lit(0))
+    chosen = F.transform(F.array(F.coalesce(token, token_at(F.lit(0)))), lambda t: F.struct(
+        t["tok"].alias("anchor"), t["tok_idx"].cast("int").alias("root_idx")))
+    by_chunk = F.struct(text.alias("anchor"), chunk_root.cast("int").alias("root_idx"))
+    return F.when(chunk_root.isNotNull(), by_chunk).otherwise(F.get(chosen, F.lit(0)))
 
 
 def match_to_chunk(

@@ -118,3 +118,8 @@ def test_a_cluster_needs_a_shared_folder():
     with pytest.raises(ValueError):
         scratch_path(session(**{"spark.master": "spark://host:7077"}), "x")
     assert scratch_path(session(**{"spark.master": "yarn", "spark.checkpoint.dir": "hdfs:///shared/"}), "x").startswith("hdfs:///shared/x-")
+
+
+def test_candidates_shuffle_few_times(spark):
+    plan = load()["c7_all_candidates"][0](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= 15
