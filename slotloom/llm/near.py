@@ -41,7 +41,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 24, 5
 # Bytes of text and rows that a worker takes at once.
-SLICE_BYTES, FEW_ROWS = 2 << 20, 512
+SLICE_BYTES, FEW_ROWS = 1 << 20, 512
 # Rows of a text with very many copies are dealt into so many parts.
 PARTS = 64
 

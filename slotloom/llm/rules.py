@@ -28,6 +28,8 @@ from slotloom.llm.words import Slice, mix, slices, windows
 
 # The most labelled rows that a fit reads.
 FIT_ROWS = 20_000
+# The rows that a worker takes at once.
+FEW_ROWS = 512
 REPEAT_WINDOW = 8
 LEAST_WORDS = 20
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -92,8 +94,9 @@ def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
 
     def count(batches):
         for batch in batches:
-            rows = batch.column("row")
-            yield pa.RecordBatch.from_arrays([rows, *_counts(pc.struct_field(rows, text))], names)
+            for low in range(0, batch.num_rows, FEW_ROWS):
+                rows = batch.column("row").slice(low, FEW_ROWS)
+                yield pa.RecordBatch.from_arrays([rows, *_counts(pc.struct_field(rows, text))], names)
 
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     kind = rows.schema["row"].dataType.simpleString()

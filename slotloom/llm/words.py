@@ -19,7 +19,7 @@ SPACE[[0x20, *range(0x09, 0x0E)]] = True
 # Longer words are hashed one by one.
 LONG_WORD = 64
 # Texts are taken in slices of about this many bytes, so that memory stays flat; a longer text is a slice.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 _WORD_STEP = np.uint64(0x9E3779B97F4A7C15)
 _BYTE_CODES = np.random.Generator(np.random.PCG64(20240229)).integers(1, 1 << 63, 256, dtype=np.uint64)
