@@ -12,19 +12,20 @@ needs no shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructType
 
 from slotloom.functions.text import BOILERPLATE, PRONOUNS, SPACE, running_total, strip
 from slotloom.slots import NO_ENTITY
 
-TOKEN_SCHEMA = (
-    "doc_id string, sent_idx int, tok_idx int, tok string, pos string, dep string, head_idx int, "
-    "start int, end int"
-)
+# What a tagger of one's own gives for a sentence: field names and types, in order.
+TOKEN_FIELDS = {"tok": "string", "pos": "string", "dep": "string", "head_idx": "int", "start": "int", "end": "int"}
+SPAN_FIELDS = {"text": "string", "label": "string", "start": "int", "end": "int", "root_idx": "int"}
+NESTED = {"toks": TOKEN_FIELDS, "ents": SPAN_FIELDS, "chunks": SPAN_FIELDS}
 
 # Fixed values of the default rules: abbreviations that end in a full stop, and word classes.
 ABBREVIATIONS = ("Corp", "Inc", "Ltd", "Co", "Cos", "Bros", "Mr", "Mrs", "Ms", "Dr", "St", "No", "Jr", "Sr")
@@ -146,11 +147,54 @@ def token_rows(annotated: DataFrame) -> DataFrame:
     return rows.filter("tok_idx IS NOT NULL").select("doc_id", "sent_idx", "tok_idx", "t.*")
 
 
-def annotate_with(
-    sents: DataFrame, tagger: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], schema: str = TOKEN_SCHEMA
-) -> DataFrame:
-    """T3 hook: a tagger of your own, from batches of sentences to batches of token rows."""
-    return sents.mapInPandas(tagger, schema)
+def annotate_with(sents: DataFrame, tagger: Callable[[list[str]], list[dict]]) -> DataFrame:
+    """T3-T5 with a tagger of your own: each sentence with arrays ``toks``, ``ents`` and ``chunks`` (``NESTED``).
+
+    ``tagger`` takes a list of sentences and gives a dict of the three lists for
+    each; it travels to the executors, where a batch of sentences is one call. A
+    sentence stays one row, so nothing is grouped again. A null sentence is
+    passed as an empty one. Wrong numbers of sentences, other fields, values of
+    another type and heads or roots outside the sentence are errors.
+    """
+    plain = {"string": pa.string(), "int": pa.int32()}
+    nested = {name: dict(fields) for name, fields in NESTED.items()}
+    kinds = {name: pa.list_(pa.struct([(f, plain[t]) for f, t in fields.items()])) for name, fields in nested.items()}
+
+    def checked(found: dict) -> dict:
+        if set(found) != set(nested):
+            raise ValueError(f"a sentence needs {sorted(nested)}, not {sorted(found)}")
+        for name, fields in nested.items():
+            for item in found[name]:
+                if set(item) != set(fields):
+                    raise ValueError(f"{name} need {sorted(fields)}, not {sorted(item)}")
+                place = item["head_idx" if name == "toks" else "root_idx"]
+                if place is None or not 0 <= place < len(found["toks"]):
+                    raise ValueError(f"{name}: no token {place} in the sentence")
+        return found
+
+    def run(batches):
+        for batch in batches:
+            texts = [t or "" for t in batch.column("sent").to_pylist()]
+            tagged = [checked(f) for f in tagger(texts)]
+            if len(tagged) != len(texts):
+                raise ValueError(f"{len(texts)} sentences gave {len(tagged)} annotations")
+            arrays = [pa.array([f[name] for f in tagged], kinds[name]) for name in nested]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *arrays], [*batch.schema.names, *nested])
+
+    schema = StructType(list(sents.schema.fields))
+    for name, fields in nested.items():
+        schema = schema.add(name, DataType.fromDDL(f"array<struct<{','.join(f'`{f}`:{t}' for f, t in fields.items())}>>"))
+    return sents.mapInArrow(run, schema)
+
+
+def annotated(sents: DataFrame, tagger: Callable[[list[str]], list[dict]] | None = None) -> DataFrame:
+    """Sentences annotated by ``tagger``, or by the default rules."""
+    return annotate(sents) if tagger is None else annotate_with(sents, tagger)
+
+
+def _given_spans(annotated: DataFrame, column: str) -> DataFrame:
+    rows = annotated.select("doc_id", "sent_idx", F.posexplode_outer(column).alias("ord", "s")).filter("ord IS NOT NULL")
+    return rows.select("doc_id", "sent_idx", "ord", "s.text", "s.label", "s.start", "s.end", "s.root_idx")
 
 
 def _runs(flags: Column) -> Column:
@@ -195,11 +239,7 @@ def _spans(
     return annotated.select("doc_id", "sent_idx", F.inline(F.transform(runs, span)))
 
 
-def entities(annotated: DataFrame, gazetteer: DataFrame | None = None) -> DataFrame:
-    """T4: entity spans by rule. Capitalised runs are ORG, amounts with a unit are MONEY.
-
-    ``gazetteer`` is ``(text, label)`` with distinct texts; it overrides the label of equal texts.
-    """
+def _ruled_entities(annotated: DataFrame) -> DataFrame:
     names = _spans(
         annotated, lambda t: t["pos"] == "PROPN", lambda t: F.lit(True), "ORG"
     )
@@ -209,7 +249,15 @@ def entities(annotated: DataFrame, gazetteer: DataFrame | None = None) -> DataFr
         lambda t: t["pos"] == "NUM",
         "MONEY",
     ).filter(F.rlike(F.lower("text"), F.lit(r"[^0-9.\s]")))
-    found = names.unionByName(sums)
+    return names.unionByName(sums)
+
+
+def entities(annotated: DataFrame, gazetteer: DataFrame | None = None) -> DataFrame:
+    """T4: entity spans: a tagger's own, or by rule. Capitalised runs are ORG, amounts with a unit are MONEY.
+
+    ``gazetteer`` is ``(text, label)`` with distinct texts; it overrides the label of equal texts.
+    """
+    found = _given_spans(annotated, "ents") if "ents" in annotated.columns else _ruled_entities(annotated)
     if gazetteer is None:
         return found
     known = gazetteer.select("text", F.col("label").alias("known"))
@@ -219,7 +267,9 @@ def entities(annotated: DataFrame, gazetteer: DataFrame | None = None) -> DataFr
 
 
 def noun_chunks(annotated: DataFrame) -> DataFrame:
-    """T5: maximal runs of nominal tokens that hold a noun, name or pronoun; the last token is the root."""
+    """T5: a tagger's own, or maximal runs of nominal tokens that hold a noun, name or pronoun; the last token is the root."""
+    if "chunks" in annotated.columns:
+        return _given_spans(annotated, "chunks")
     return _spans(
         annotated,
         lambda t: t["pos"].isin(*NOMINAL),

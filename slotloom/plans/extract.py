@@ -14,10 +14,10 @@ from slotloom.sources.templates import template_lines
 
 
 def annotations(
-    docs: DataFrame, lexicon: DataFrame, gazetteer: DataFrame | None = None, sentences: int = 3
+    docs: DataFrame, lexicon: DataFrame, gazetteer: DataFrame | None = None, sentences: int = 3, tagger=None,
 ) -> tuple[candidates.Annotations, DataFrame]:
-    """The default annotation of a corpus and its token arrays, written once for all consumers."""
-    annotated = stage(annotate.annotate(annotate.sentences(docs, sentences)), "annotated")
+    """The annotation of a corpus, by ``tagger`` or the default rules, and its token arrays, written once for all consumers."""
+    annotated = stage(annotate.annotated(annotate.sentences(docs, sentences), tagger), "annotated")
     return candidates.Annotations(
         docs=docs,
         sents=annotated.select("doc_id", "sent_idx", "sent"),
@@ -31,13 +31,15 @@ def annotations(
 def slot_values(
     docs: DataFrame, lexicon: DataFrame, vectors: DataFrame, classifier: PipelineModel,
     gazetteer: DataFrame | None = None, compat: bool = True, given: candidates.Annotations | None = None,
+    tagger=None,
 ) -> DataFrame:
     """S1 to M3 in one job: ``(doc_id, slot, text)`` for every document and slot.
 
+    ``tagger`` annotates in place of the default rules (:func:`annotate.annotate_with`).
     ``given`` is an annotation of your own; ``lexicon`` and ``gazetteer`` are not looked at then.
     """
     if given is None:
-        tables, arrays = annotations(docs, lexicon, gazetteer)
+        tables, arrays = annotations(docs, lexicon, gazetteer, tagger=tagger)
     else:
         tables, arrays = given, features.sentence_arrays(given.tokens)
     found = stage(candidates.all_candidates(tables, compat), "candidates")

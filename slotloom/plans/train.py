@@ -14,20 +14,19 @@ ROW_KEYS = ["doc_id", "sent_idx", "label", "text", "root_idx"]
 
 def document_entities(annotated: DataFrame, gazetteer: DataFrame | None = None) -> DataFrame:
     """E1, E2 over whole documents, for L6."""
-    spans = annotate.entities(annotated, gazetteer).withColumn(
-        "ord", F.col("sent_idx").cast("long") * 1000000000 + F.col("ord")
-    )
+    spans = annotate.entities(annotated, gazetteer).withColumn("ord", F.struct("sent_idx", "ord"))
     return entities.mark_references(entities.dedup_entities(spans, ("doc_id",)))
 
 
 def training_rows(
     docs: DataFrame, gold: DataFrame, vectors: DataFrame, gazetteer: DataFrame | None = None, compat: bool = True,
-    given: candidates.Annotations | None = None, balance: bool = False,
+    given: candidates.Annotations | None = None, balance: bool = False, tagger=None,
 ) -> DataFrame:
     """Labelled feature rows from paired documents and their gold texts.
 
     Sentences are the first three; entities come from the whole document. ``given`` is an annotation of your own,
-    whose entities have distinct texts per document. With ``balance``, L7 comes first and only the rows it keeps get features.
+    whose entities have distinct texts per document;
+    ``tagger`` annotates in place of the default rules. With ``balance``, L7 comes first and only the rows it keeps get features.
     """
     def chosen(rows: DataFrame) -> DataFrame:
         return stage(training.balance_negatives(stage(rows, "labelled"), ROW_KEYS), "balanced_rows") if balance else rows
@@ -37,8 +36,8 @@ def training_rows(
             given.chunks, gold, given.sents, given.tokens, entities.mark_references(given.entities), compat)
         return features.assemble(
             features.describe(chosen(rows), docs, given.sents, features.sentence_arrays(given.tokens)), vectors)
-    whole = stage(annotate.annotate(annotate.sentences(docs, 1 << 30)), "whole")
-    annotated = stage(annotate.annotate(annotate.sentences(docs)), "annotated")
+    whole = stage(annotate.annotated(annotate.sentences(docs, 1 << 30), tagger), "whole")
+    annotated = stage(annotate.annotated(annotate.sentences(docs), tagger), "annotated")
     sents = annotated.select("doc_id", "sent_idx", "sent")
     rows = training.training_candidates(
         annotate.noun_chunks(annotated), gold, sents, annotate.token_rows(annotated),
