@@ -30,15 +30,19 @@ def read_documents(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """The listed paths in order, ``(ord, path, doc_id)``; ``ord`` grows, gaps are allowed."""
+    """The listed paths in order, ``(ord, path, doc_id)``; ``ord`` is the line's place (file, split, line)."""
     lines = read_lines(spark, path).withColumn("path", strip(F.col("line"))).filter("path <> ''")
     return parse_manifest(lines)
 
 
 def parse_manifest(lines: DataFrame) -> DataFrame:
-    """S2 on placed lines that carry ``path`` and ``pos``."""
+    """S2 on placed lines that carry ``path`` and ``pos``, and ``file`` and ``block`` if they come from files.
+
+    A scan takes large splits first, so ``pos`` orders the lines of one split only.
+    """
+    place = F.struct("file", "block", "pos") if "file" in lines.columns else F.col("pos").cast("long")
     return lines.select(
-        F.col("pos").cast("long").alias("ord"), "path", base_name(F.col("path")).alias("doc_id")
+        place.alias("ord"), "path", base_name(F.col("path")).alias("doc_id")
     )
 
 

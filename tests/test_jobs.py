@@ -123,3 +123,15 @@ def test_a_cluster_needs_a_shared_folder():
 def test_candidates_shuffle_few_times(spark):
     plan = load()["c7_all_candidates"][0](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") <= 15
+
+
+def test_manifest_order_over_splits(spark, tmp_path):
+    names = [f"d{(i * 37) % 500}" for i in range(500)]
+    (tmp_path / "list").write_text("\n".join(f"./docs/{n}" for n in names) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        listed = docs_io.read_manifest(spark, str(tmp_path / "list"))
+        assert listed.rdd.getNumPartitions() > 4
+        assert [r.doc_id for r in listed.orderBy("ord").collect()] == names
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
