@@ -155,3 +155,21 @@ def test_window_hashes_equal_for_equal_windows():
         for i, h in enumerate(hashes.tolist()):
             assert seen.setdefault(h, tuple(words[i:i + n])) == tuple(words[i:i + n])
         assert len(seen) == len({tuple(words[i:i + n]) for i in range(len(hashes))})
+
+
+def test_a_measured_lexicon_moves_no_text(spark):
+    texts = spark.createDataFrame([(1, "abcd abcde x"), (2, "bcde"), (3, ""), (4, None)], "id int, text string")
+    lexicon = spark.createDataFrame([(0, "abcd"), (1, "bcde"), (2, "d"), (3, ""), (4, None), (5, "zzzz")], "lex_ord long, status string")
+    found = [sorted(map(tuple, lexicons._joined_hits(texts, ["id"], lexicon, small).collect())) for small in (0, 1 << 20)]
+    assert found[0] == found[1] == [(1, 0, "abcd"), (1, 1, "bcde"), (1, 2, "d"), (1, 3, ""), (2, 1, "bcde"), (2, 2, "d"), (2, 3, ""), (3, 3, "")]
+    plan = lexicons._joined_hits(texts, ["id"], lexicon)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(id" not in plan and "SortMergeJoin [id" not in plan
+
+
+def test_measured_phrases_move_no_window(spark):
+    docs = spark.createDataFrame([(1, "a b a c"), (2, "c"), (3, None)], "doc_id int, text string")
+    table = spark.createDataFrame([(0, "a b"), (1, "a"), (2, "c"), (3, "q r")], "phrase_ord int, phrase string")
+    ways = [lexicons.phrase_spans(docs, table, 0, small) for small in (0, 1 << 20)]
+    rows = [sorted(map(tuple, way.select("doc_id", "tok_idx", "n_tok", "text").collect())) for way in ways]
+    assert rows[0] == rows[1] == [(1, 0, 1, "a"), (1, 0, 2, "a b"), (1, 2, 1, "a"), (1, 3, 1, "c"), (2, 0, 1, "c")]
+    assert "Exchange hashpartitioning(doc_id" not in ways[1]._jdf.queryExecution().executedPlan().toString()
