@@ -7,14 +7,14 @@ lines of the collection; only its order matters.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from slotloom.session import ranged, stage
 from slotloom.slots import NO_VALUE, SLOTS
 
-# Line formats of a template file, a continuation line, and a quoted string.
-KEY_LINE = r"(?is)^(TEXT|ACQUIRED|ACQBUS|ACQLOC|DLRAMT|PURCHASER|SELLER|STATUS):\s+(.*)$"
+# The keys that start a template file's lines, a continuation line, and a quoted string.
+KEYS = ("text", *SLOTS)
 MORE_LINE = r"(?s)^\s+(\w.*)$"
 LINE_SPACE = " \t\n\x0b\f\r"
 QUOTED = r'"([^"]*)"'
@@ -46,17 +46,22 @@ def parse_templates(lines: DataFrame, strict_compat: bool = False) -> DataFrame:
     dropped, one after STATUS goes to SELLER, and one after TEXT is dropped in
     either mode.
     """
-    key = F.lower(F.regexp_extract("line", KEY_LINE, 1))
-    rest = F.rtrim(F.regexp_extract("line", KEY_LINE, 2), F.lit(LINE_SPACE))
-    more = F.rtrim(F.regexp_extract("line", MORE_LINE, 1), F.lit(LINE_SPACE))
-    keyed = lines.select(
-        "file",
-        "block",
-        "pos",
-        F.when(key != "", key).alias("key"),
-        F.when(key != "", rest).alias("rest"),
-        F.when((key == "") & (more != ""), more).alias("more"),
-    ).filter("key IS NOT NULL OR more IS NOT NULL")
+    space = F.lit(LINE_SPACE)
+
+    def named(name: Column) -> Column:
+        # a key ends in a colon and white space; a line without key may go on with the value above it
+        is_key = name.isin(*KEYS) & F.substr("line", F.length(name) + 2, F.lit(1)).isin(*LINE_SPACE)
+        more = F.when(F.left("line", F.lit(1)).isin(*LINE_SPACE), F.rtrim(F.regexp_extract("line", MORE_LINE, 1), space))
+        return F.struct(
+            F.when(is_key, name).alias("key"),
+            F.when(is_key, F.trim(F.substr("line", F.length(name) + 2), space)).alias("rest"),
+            F.when(~is_key & (more != ""), more).alias("more"),
+        )
+
+    # Bound by a lambda, a line's key is found once; written, since the lines are read twice below.
+    parts = F.transform(F.array(F.lower(F.substring_index("line", ":", 1))), named)
+    told = F.filter(parts, lambda x: x["key"].isNotNull() | x["more"].isNotNull())
+    keyed = stage(lines.select("file", "block", "pos", F.inline(told)), "keyed_lines")
 
     is_head = F.col("key") == "text"
     head_pos = F.when(is_head, F.col("pos"))
@@ -194,20 +199,28 @@ def template_lines(docs: DataFrame, filled: DataFrame, separator: str = " ") ->
     Each record has a header, a line per slot value (the no-value mark for an
     empty slot) and a separator.
     """
-    parts = F.array(
-        F.struct(F.lit(0).alias("line_no"), F.lit(None).cast("string").alias("slot")),
-        *[F.struct(F.lit(i + 1).alias("line_no"), F.lit(s).alias("slot")) for i, s in enumerate(SLOTS)],
-        F.struct(F.lit(len(SLOTS) + 1).alias("line_no"), F.lit(None).cast("string").alias("slot")),
-    )
-    laid_out = docs.select("ord", "doc_id", F.inline(parts))
-    line = (
-        F.when(F.col("line_no") == 0, F.concat(F.lit("TEXT: "), F.col("doc_id").cast("string")))
-        .when(F.col("slot").isNull(), F.lit(separator))
-        .otherwise(F.concat(F.upper("slot"), F.lit(": "), F.coalesce("value", F.lit(NO_VALUE))))
-    )
-    return laid_out.join(filled, ["ord", "slot"], "left").select(
-        "ord", "line_no", F.coalesce("val_ord", F.lit(0)).alias("val_ord"), line.alias("line")
+    # A record's values meet its header in one row, and the lines are laid out there.
+    held = filled.filter("slot IS NOT NULL").groupBy("ord").agg(
+        F.collect_list(F.struct("slot", F.coalesce("val_ord", F.lit(0)).alias("val_ord"), "value")).alias("held"))
+    first = F.lit(0).cast(filled.schema["val_ord"].dataType)
+
+    def laid(line_no: int, line: Column) -> Column:
+        return F.array(F.struct(F.lit(line_no).alias("line_no"), first.alias("val_ord"), line.alias("line")))
+
+    def slot_lines(line_no: int, slot: str) -> Column:
+        own = F.filter("held", lambda v: v["slot"] == slot)
+        shown = lambda value: F.concat(F.lit(f"{slot.upper()}: "), F.coalesce(value, F.lit(NO_VALUE)))
+        lines = F.transform(own, lambda v: F.struct(
+            F.lit(line_no).alias("line_no"), v["val_ord"].alias("val_ord"), shown(v["value"]).alias("line")))
+        # no values at all is null
+        return F.when(F.size(own) > 0, lines).otherwise(laid(line_no, shown(F.lit(None).cast("string"))))
+
+    parts = F.concat(
+        laid(0, F.concat(F.lit("TEXT: "), F.col("doc_id").cast("string"))),
+        *[slot_lines(i + 1, s) for i, s in enumerate(SLOTS)],
+        laid(len(SLOTS) + 1, F.lit(separator)),
     )
+    return docs.select("ord", "doc_id").join(held, "ord", "left").select("ord", F.inline(parts))
 
 
 def blank_template_lines(docs: DataFrame, separator: str = " ") -> DataFrame:

@@ -160,3 +160,34 @@ def test_unequal_sets_are_not_scored(spark, tmp_path):
     (tmp_path / "out").write_text("".join(f"TEXT: {i}\n{slots}\n" for i in "ab"))
     (tmp_path / "gold").write_text(f"TEXT: a\n{slots}\n")
     assert set(score_files(spark, str(tmp_path / "out"), str(tmp_path / "gold"))) == {"size_errors", "mismatched"}
+
+
+def test_lines_are_made_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def told(line):
+        seen.add(1)
+        return line
+
+    lines = ["TEXT: x", "acquired:\t\"a\" ", "  more", "STATUS:none", "Seller : no", "TEXT:  ", "SELLER: ---", "STATUS: \"s\"", ""]
+    placed = spark.createDataFrame([("f", i // 3, i, t) for i, t in enumerate(lines)], "file string, block long, pos long, line string")
+    found = io.parse_templates(placed.withColumn("line", F.udf(told, "string").asNondeterministic()("line"))).orderBy("val_ord").collect()
+    assert [(r.tmpl_ord, r.doc_id, r.slot, r.value) for r in found] == [
+        (0, "x", None, None), (0, "x", "acquired", '"a"'), (0, "x", "acquired", "more"), (1, "", None, None), (1, "", "status", '"s"')]
+    assert seen.value == len(lines)
+
+
+def test_records_are_laid_out_in_their_row(spark):
+    docs = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d")], "ord long, doc_id string")
+    filled = spark.createDataFrame(
+        [(1, "seller", 2, "y"), (1, "seller", 1, "x"), (2, "status", 5, None), (2, "other", 1, "z"), (None, "seller", 1, "n"), (9, "seller", 1, "n")],
+        "ord long, slot string, val_ord long, value string")
+    lines = io.template_lines(docs, filled)
+    got = sorted((r.ord or 0, r.line_no, r.val_ord, r.line) for r in lines.collect() if "---" not in r.line or r.val_ord)
+    assert got == sorted([
+        (0, 0, 0, "TEXT: d"), (0, 8, 0, " "), (1, 0, 0, "TEXT: a"), (1, 0, 0, "TEXT: b"), *2 * [(1, 6, 1, "SELLER: x"), (1, 6, 2, "SELLER: y"), (1, 8, 0, " ")],
+        (2, 0, 0, "TEXT: c"), (2, 7, 5, "STATUS: ---"), (2, 8, 0, " ")])
+    assert lines.count() == 9 * 4 + 2
+    # records are expanded above the join, not below it
+    plan = lines._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.index("Join")
