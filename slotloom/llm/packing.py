@@ -91,20 +91,27 @@ def _descend(left: np.ndarray, fillings):
         yield n, fill, n * (capacity - sum(fill))
 
 
-def _dominated(fill: list[int], slack: int, left: list[int], used: dict[int, int]) -> bool:
-    def free(low: int, high: int) -> bool:
-        return any(left[x] > used.get(x, 0) for x in range(low, high + 1))
-
+def _dominated(fill: list[int], slack: int, left: list[int], present: list[int], used: dict[int, int]) -> bool:
+    """``present[x]`` is the number of lengths up to x that are left before the filling takes its own."""
     if not slack:
         return False
-    sums = set(fill) | {a + b for i, a in enumerate(fill) for b in fill[i + 1:]}
-    return any(free(x + 1, x + slack) for x in sums)
+    spent = [x for x, n in used.items() if n >= left[x]]
+
+    def free(low: int, high: int) -> bool:
+        return present[high] - present[low - 1] > sum(low <= x <= high for x in spent)
+
+    if any(free(x + 1, x + slack) for x in set(fill)):
+        return True
+    return any(free(x + 1, x + slack) for x in {a + b for i, a in enumerate(fill) for b in fill[i + 1:]})
 
 
 def fillings(gap: int, left: np.ndarray, allowed: int) -> list[tuple[int, ...]]:
     """Undominated fillings of ``gap``, least waste first; at most ``FILLS``, and the best-fit one if none is better."""
-    sizes = (np.flatnonzero(left[1:gap + 1]) + 1)[::-1].tolist()
-    counts = left.tolist()
+    sizes = (np.flatnonzero(left[1:gap + 1]) + 1)[::-1]
+    # where the sizes begin that fit into each room
+    begin = np.searchsorted(-sizes, -np.arange(gap + 1)).tolist()
+    sizes = sizes.tolist()
+    counts, present = left.tolist(), np.cumsum(left > 0).tolist()
     first = _greedy(left, gap)
     found = [(gap - sum(first), first)]
     budget = FILL_NODES
@@ -115,9 +122,9 @@ def fillings(gap: int, left: np.ndarray, allowed: int) -> list[tuple[int, ...]]:
         if budget < 0 or found[0][0] == 0:
             return
         extended = False
-        for i in range(at, len(sizes)):
+        for i in range(max(at, begin[room]), len(sizes)):
             size = sizes[i]
-            if size > room or used.get(size, 0) >= counts[size]:
+            if used.get(size, 0) >= counts[size]:
                 continue
             extended = True
             used[size] = used.get(size, 0) + 1
@@ -125,10 +132,12 @@ def fillings(gap: int, left: np.ndarray, allowed: int) -> list[tuple[int, ...]]:
             search(i, room - size, fill, used)
             fill.pop()
             used[size] -= 1
+            if not used[size]:
+                del used[size]
             if budget < 0 or found[0][0] == 0:
                 return
         bound = min(allowed, found[-1][0] - 1 if len(found) >= FILLS else gap)
-        if not extended and room <= bound and tuple(fill) != first and not _dominated(fill, room, counts, used):
+        if not extended and room <= bound and tuple(fill) != first and not _dominated(fill, room, counts, present, used):
             found.append((room, tuple(fill)))
             found.sort(key=lambda x: x[0])
             del found[FILLS:]

@@ -103,3 +103,17 @@ def test_matrices(spark):
     check(rows, got, 49407)
     assert all(r.reset == r.offset for r in got) and all(len(r.ids) == 4096 for r in written.collect())
     assert matrices.segments(matrices.write_matrices(df.where(F.lit(False)), matrices.matrices_folder(spark))).count() == 0
+
+
+def test_dominance_is_counted_and_not_scanned():
+    rng = np.random.default_rng(5)
+    for _ in range(300):
+        left = rng.integers(0, 3, 60)
+        left[0] = 0
+        fill = [x for x in rng.integers(1, 12, 3).tolist() if left[x]]
+        used = {x: min(fill.count(x), int(left[x])) for x in fill}
+        slack = int(rng.integers(0, 8))
+        sums = set(fill) | {a + b for i, a in enumerate(fill) for b in fill[i + 1:]}
+        plain = any(left[x] > used.get(x, 0) for s in sums for x in range(s + 1, s + slack + 1))
+        counted = packing._dominated(fill, slack, left.tolist(), np.cumsum(left > 0).tolist(), used)
+        assert counted == bool(slack and plain)
