@@ -21,7 +21,6 @@ archives stays as it is, and refers to no page; a record without an id gets one
 
 from __future__ import annotations
 
-import gzip
 import hashlib
 import re
 import uuid
@@ -38,6 +37,8 @@ FILE_BYTES = 8 << 20
 LEAST_BYTES = 100
 # Levels of gzip in archives and of zstd in the parsed table.
 LEVEL, PARSED_LEVEL = 5, 5
+# Bytes of an archive that are unpacked at a time; of a member's last piece, what follows is copied.
+STEP = 1 << 14
 # Fixed values of the format.
 VERSION = b"WARC/1.0"
 PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
@@ -91,6 +92,24 @@ def parse(data: bytes):
             at += 2
 
 
+def unpack(data: bytes) -> bytes:
+    """The bytes of all gzip members; zeros between and behind them are padding. Takes time by their bytes, however many members there are."""
+    view, out, at = memoryview(data), [], 0
+    while at < len(data):
+        if not data[at]:
+            at += 1
+            continue
+        member = zlib.decompressobj(31)
+        while not member.eof:
+            if at >= len(data):
+                raise EOFError("an archive ends within a gzip member")
+            piece = view[at:at + STEP]
+            out.append(member.decompress(piece))
+            at += len(piece)
+        at -= len(member.unused_data)
+    return b"".join(out)
+
+
 def _entry(head: dict[str, str], block: bytes) -> tuple[tuple, bytes] | None:
     """A record's columns of ``HEADERS`` and its payload; None for types other than response and revisit."""
     get = lambda name: head.get(name.lower())
@@ -171,7 +190,7 @@ def read(spark: SparkSession, folder: str, payloads: bool = False, files: str =
             for data in batch.column("content"):
                 raw = data.as_py()
                 out = []
-                for head, block in parse(gzip.decompress(raw) if raw.startswith(b"\x1f\x8b") else raw):
+                for head, block in parse(unpack(raw) if raw.startswith(b"\x1f\x8b") else raw):
                     found = _entry(head, block)
                     if found:
                         out.append((*found[0], *([press.compress(found[1])] if payloads else [])))

@@ -1,9 +1,12 @@
 """WARC, shards and URL filters against plain versions."""
 
+import gzip
 import hashlib
 import random
+import time
 import zlib
 
+import pytest
 from pyspark.sql import functions as F
 
 from slotloom.llm import shards, urls, warc
@@ -39,6 +42,24 @@ def test_warc_round_trip(spark):
     assert warc.read(spark, none).count() == 0
 
 
+def test_members_unpack_in_linear_time():
+    draw = random.Random(5)
+    members = [gzip.compress(draw.randbytes(draw.choice([0, 1, 700, 40_000])), mtime=0) + b"\0" * draw.choice([0, 0, 1, 9]) for _ in range(200)]
+    assert warc.unpack(b"".join(members)) == gzip.decompress(b"".join(members))
+    with pytest.raises(EOFError):
+        warc.unpack(members[0][:-1].rstrip(b"\0")[:-1])
+    with pytest.raises(zlib.error):
+        warc.unpack(members[0] + b"no member")
+    small = gzip.compress(draw.randbytes(300), mtime=0)
+
+    def seconds(n):
+        data, begun = small * n, time.process_time()
+        warc.unpack(data)
+        return time.process_time() - begun
+
+    assert min(seconds(40_000) for _ in range(3)) < 8 * min(seconds(10_000) for _ in range(3))
+
+
 def test_any_bytes_and_foreign_archives(spark, tmp_path):
     jpeg = bytes(range(256)) * 3
     df = spark.createDataFrame([(1, "a", jpeg), (2, "b", jpeg), (3, "c", b"\xff\xfe\x00"), (4, "d", jpeg[:99])], "page_id long, url string, html binary").coalesce(1)
