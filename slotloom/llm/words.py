@@ -7,6 +7,7 @@ cross from one text into the next is never used. Hashes are 64 bits wide and dep
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -20,6 +21,8 @@ SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LONG_WORD = 64
 # Texts are taken in slices of about this many bytes, so that memory stays flat; a longer text is a slice.
 SLICE_BYTES = 1 << 20
+# Only some C libraries have it.
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
 
 _WORD_STEP = np.uint64(0x9E3779B97F4A7C15)
 _BYTE_CODES = np.random.Generator(np.random.PCG64(20240229)).integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -90,6 +93,14 @@ def slices(texts: pa.Array, limit: int = SLICE_BYTES, blank: np.ndarray = SPACE)
         high = max(low + 1, int(np.searchsorted(offsets, offsets[low] + limit, side="right")) - 1)
         yield _split(low, high, data[offsets[low]:offsets[high]], offsets[low:high + 1] - offsets[low], blank)
         low = high
+    give_back()
+
+
+def give_back() -> None:
+    """Return the memory that this worker has freed to the system: workers live on between stages, and their allocators keep it otherwise."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
 
 
 def _split(low: int, high: int, data: np.ndarray, offsets: np.ndarray, blank: np.ndarray) -> Slice:

@@ -1,5 +1,7 @@
 """Both packers: every id is placed once, nothing overlaps, and the search finds the optimum of small cases."""
 
+import subprocess
+import sys
 import zlib
 
 import numpy as np
@@ -117,3 +119,28 @@ def test_dominance_is_counted_and_not_scanned():
         plain = any(left[x] > used.get(x, 0) for s in sums for x in range(s + 1, s + slack + 1))
         counted = packing._dominated(fill, slack, left.tolist(), np.cumsum(left > 0).tolist(), used)
         assert counted == bool(slack and plain)
+
+
+def test_workers_give_memory_back_behind_a_batch():
+    script = """
+import ctypes, random, re
+import pyarrow as pa
+from slotloom.llm import tokens
+
+def held():
+    return int(re.search(r"Pss_Anon: *([0-9]+)", open("/proc/self/smaps_rollup").read())[1]) / 1024
+
+draw = random.Random(3)
+texts = pa.array([" ".join("%x" % draw.getrandbits(20) for _ in range(1500)) for _ in range(3000)])
+encoder, n = tokens.encoder("word_bpe_49k.json"), 0
+for _ in range(2):
+    for *_, ids, offsets in tokens.encode_texts(encoder, texts):
+        n += len(ids)
+del ids, offsets
+left = held()
+pa.default_memory_pool().release_unused()
+ctypes.CDLL(None).malloc_trim(0)
+print(n, left - held())
+"""
+    n, kept = subprocess.run([sys.executable, "-c", script], capture_output=True, text=True, check=True).stdout.split()
+    assert int(n) > 0 and float(kept) < 24
