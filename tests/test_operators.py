@@ -165,3 +165,25 @@ def test_heads_reach_over_long_sentences(spark):
     sents = spark.createDataFrame([(1, 0, " ".join(words))], "doc_id long, sent_idx int, sent string")
     heads = [t.head_idx for t in annotate.annotate(sents).first().toks]
     assert heads == [0] * 402 + [401] * 400
+
+
+def test_gold_and_overlaps_are_made_once(spark, monkeypatch):
+    from slotloom.plans.catalog import inputs
+    from slotloom.plans.catalog import training as queries
+
+    folder, made = "/root/testdata/sf0.001", []
+
+    def counted(module, name):
+        real = getattr(module, name)
+        monkeypatch.setattr(module, name, lambda *args, **named: made.append(name) or real(*args, **named))
+
+    monkeypatch.setattr(inputs, "_STAGED", {})
+    counted(queries, "sent_phrase")
+    counted(training, "stage")
+    counted(inputs, "sentences")
+    whole = queries.l4_inject_gold_by_offset(spark, folder)
+    # the sentences are cut for the annotation alone, which all sides read
+    assert made == ["sent_phrase", "sentences"] or made == ["sentences", "sent_phrase"]
+    assert whole.count() > 0
+    queries.l_training_rows(spark, folder)
+    assert made.count("sent_phrase") == 1 and made.count("stage") == 2 and made.count("sentences") == 2  # the other: whole documents
