@@ -59,3 +59,22 @@ def test_checksum_needs_no_lambda_per_number(spark):
     found = frame.select(*_check(F.col("vec")))
     assert "aggregate(" not in found._jdf.queryExecution().optimizedPlan().toString()
     assert [(r.checksum, r.v1) for r in found.collect()] == [(pytest.approx(18.5), 2.0), (0.0, None), (None, None)]
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 20])
+def test_numbers_and_one_hot_entries_stand_in_front(spark, limit):
+    draw = random.Random(9)
+    pick = lambda words: draw.choice([*words[:3], "odd", None])
+    rows = [(i, draw.choice([None, i]), i % 5, i % 3, pick(features.DEP_LABELS), pick(features.POS_TAGS), pick(features.DEP_LABELS),
+             pick(features.ENTITY_LABELS), *["deal"] * 7) for i in range(60)]
+    names = ["id", "freq", "sentence_loc", "sent_idx", "dep", "head_pos", "head_dep", "ent_label", *features.VECTOR_ROLES]
+    described = spark.createDataFrame(rows, ", ".join(f"{n} {'int' if k < 4 else 'string'}" for k, n in enumerate(names)))
+    vectors = spark.createDataFrame([("unknown", [9.0]), ("deal", [0.5])], "word string, vec array<float>")
+    hot = [features.one_hot(F.col(c), v) for c, v in (
+        ("dep", features.DEP_LABELS), ("head_pos", features.POS_TAGS), ("head_dep", features.DEP_LABELS), ("ent_label", features.ENTITY_LABELS))]
+    numbers = F.array(*[F.col(c).cast("double") for c in names[1:4]])
+    want = described.select("id", F.concat(numbers, *hot, F.array_repeat(F.lit(0.5).cast("double"), 7)).alias("features"))
+    made = features.assemble(described, vectors, limit)
+    assert "coalesce(" not in made._jdf.queryExecution().optimizedPlan().toString()  # no entry by entry expression
+    got, wanted = ({r.id: r.features for r in df.collect()} for df in (made.select("id", "features"), want))
+    assert got == wanted and any(f[0] is None for f in got.values())
